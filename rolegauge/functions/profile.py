@@ -1,0 +1,24 @@
+"""The profile of one document."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from rolegauge.functions.columns import contained
+from rolegauge.functions.experience import experience_years
+from rolegauge.functions.terms import skills
+from rolegauge.functions.text import word_count, word_hits
+from rolegauge.lexicon import DEFAULT, EDUCATION_WORDS, Lexicon
+
+
+def profile(text: Column, as_of_year: int, lex: Lexicon = DEFAULT) -> Column:
+    """Skills, years, verbs, education words and word count of normalized ``text``."""
+    return F.struct(
+        skills(text, lex).alias("skills"),
+        experience_years(text, as_of_year).alias("experience_years"),
+        word_hits(text, lex.action_verbs).alias("action_verbs"),
+        contained(text, sorted(lex.weak_verbs)).alias("weak_verbs"),
+        contained(text, sorted(EDUCATION_WORDS)).alias("education"),
+        word_count(text).alias("word_count"),
+    )
