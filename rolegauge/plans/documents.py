@@ -10,7 +10,7 @@ from rolegauge.functions.experience import experience_years
 from rolegauge.functions.terms import (
     cosine, present_terms, role_hints, skills, squared_norm, term_vector, tokens, top_terms, weighted_bag,
 )
-from rolegauge.functions.text import normalize, word_count, word_hits
+from rolegauge.functions.text import normalize, strip, word_count, word_hits
 from rolegauge.lexicon import DEFAULT, EDUCATION_WORDS, Lexicon
 from rolegauge.operators import criteria as C
 from rolegauge.operators.target import target_match, target_text
@@ -23,7 +23,8 @@ def colocated(docs: DataFrame) -> DataFrame:
 
 
 def with_text(docs: DataFrame) -> DataFrame:
-    """Normalized texts of the document and of its target role, and the skills in both."""
+    """Normalized texts of the document, of its target role, and of that role with its known keywords."""
+    docs = docs.withColumns({name: strip(F.col(name)) for name in ("title", "description")})
     plain_target = target_text(F.col("title"), F.col("description"))
     hints = F.array_join(role_hints(F.coalesce(F.col("title"), F.lit(""))), " ")
     return docs.withColumn("text", normalize(F.col("raw_text"))).withColumn("target", normalize(plain_target)).withColumn(
