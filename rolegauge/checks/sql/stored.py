@@ -87,10 +87,10 @@ LIMIT, SECONDS = 3, 86400
 PARTS["k_limited"] = f"""
 SELECT action, client, event_id, n, true AS accepted, [at_us] AS kept FROM k_attempts WHERE n = 1
 UNION ALL
-SELECT a.action, a.client, a.event_id, a.n, len(list_filter(k.kept, lambda t: a.at_us - t < {SECONDS} * 1000000)) < {LIMIT},
-       CASE WHEN len(list_filter(k.kept, lambda t: a.at_us - t < {SECONDS} * 1000000)) < {LIMIT}
-            THEN list_append(list_filter(k.kept, lambda t: a.at_us - t < {SECONDS} * 1000000), a.at_us)
-            ELSE list_filter(k.kept, lambda t: a.at_us - t < {SECONDS} * 1000000) END
+SELECT a.action, a.client, a.event_id, a.n, len(list_filter(k.kept, lambda t: a.at_us - t < {SECONDS}::BIGINT * 1000000)) < {LIMIT},
+       CASE WHEN len(list_filter(k.kept, lambda t: a.at_us - t < {SECONDS}::BIGINT * 1000000)) < {LIMIT}
+            THEN list_append(list_filter(k.kept, lambda t: a.at_us - t < {SECONDS}::BIGINT * 1000000), a.at_us)
+            ELSE list_filter(k.kept, lambda t: a.at_us - t < {SECONDS}::BIGINT * 1000000) END
 FROM k_limited k JOIN k_attempts a ON a.action = k.action AND a.client = k.client AND a.n = k.n + 1
 """
 PARTS["k_new_names"] = """

@@ -18,9 +18,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def words(values: Iterable[str]) -> Column:
-    """A literal array of strings."""
+    """A literal array of strings; one folded expression, however long the list is."""
     values = list(values)
-    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
+    return F.split(F.lit("\x1f".join(values)), "\x1f") if values else F.array().cast("array<string>")
 
 
 def first(array: Column, n: int) -> Column:
@@ -40,20 +40,26 @@ def clip_percent(value: Column, upper: int) -> Column:
     return F.least(F.greatest(F.rint(value), F.lit(0.0)), F.lit(float(upper))).cast("int")
 
 
+def contained(text: Column, values: Iterable[str]) -> Column:
+    """The ``values`` that occur in ``text`` as plain substrings, in list order."""
+    return let(text, lambda t: F.filter(words(values), lambda v: F.contains(t, v)))
+
+
 def contains_count(text: Column, values: Iterable[str]) -> Column:
     """How many of ``values`` occur in ``text`` as plain substrings."""
-    total = F.lit(0)
-    for value in values:
-        total = total + text.contains(value).cast("int")
-    return total
+    return F.size(contained(text, values))
 
 
-def contained(text: Column, values: Iterable[str]) -> Column:
-    """The ``values`` that occur in ``text`` as plain substrings, in list order."""
-    return F.array_compact(F.array(*[F.when(text.contains(v), F.lit(v)) for v in values]))
+def contains_any(text: Column, values: Iterable[str]) -> Column:
+    return let(text, lambda t: F.exists(words(values), lambda v: F.contains(t, v)))
+
+
+def occurrences(text: Column, values: Iterable[str]) -> Column:
+    """Non-overlapping occurrences of each value, added up."""
 
+    def count(t: Column, value: Column) -> Column:
+        return (F.length(t) - F.length(F.replace(t, value, F.lit("")))) / F.length(value)
 
-def occurrences(text: Column, value: str) -> Column:
-    """Non-overlapping occurrences of ``value``."""
-    removed = F.replace(text, F.lit(value), F.lit(""))
-    return ((F.length(text) - F.length(removed)) / F.lit(len(value))).cast("int")
+    return let(
+        text, lambda t: F.aggregate(words(values), F.lit(0), lambda n, v: n + count(t, v).cast("int"))
+    )

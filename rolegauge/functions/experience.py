@@ -43,10 +43,12 @@ def dated_ranges(text: Column, as_of_year: int) -> Column:
     One pass of one pattern marks each range together with the 80 characters before and after it; the marked
     text is then cut at the marks. Texts without any year skip the pattern.
     """
-    plain = F.translate(text, MARK + FIELD, "??")
+    plain = F.replace(F.replace(text, F.lit(MARK), F.lit("?")), F.lit(FIELD), F.lit("?"))
+    # The range is looked for before the context: the backward look is the costly part.
+    between = r"\s*(?:-|–|—|to|until)\s*"
     pattern = (
-        rf"(?s)(?={DATE})(?<=(^.{{0,{CONTEXT - 1}}}|.{{{CONTEXT}}}))({DATE})\s*(?:-|–|—|to|until)\s*"
-        rf"({OPEN_END}|{DATE})(?=(.{{0,{CONTEXT}}}))"
+        rf"(?s)(?=[\sjfmasond12])(?={DATE}{between}(?:{OPEN_END}|{DATE}))(?<=(^.{{0,{CONTEXT - 1}}}|.{{{CONTEXT}}}))"
+        rf"({DATE}){between}({OPEN_END}|{DATE})(?=(.{{0,{CONTEXT}}}))"
     )
     # $0 keeps the range itself, so the window is "before + range + after" without a gap.
     marked = F.regexp_replace(plain, pattern, f"{MARK}$2{FIELD}$3{FIELD}$1$0$4{MARK}")

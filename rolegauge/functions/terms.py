@@ -7,11 +7,13 @@ for anything in this module.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rolegauge.functions.columns import first, let, words
-from rolegauge.functions.text import TOKEN, normalize, term_chunks, term_hits
+from rolegauge.functions.text import TOKEN, listed_terms, normalize, term_hits
 from rolegauge.lexicon import DEFAULT, REQUIREMENT_PHRASES, Lexicon
 
 # Fixed patterns and limits.
@@ -24,13 +26,18 @@ TOP_TERMS = 18
 def skills(text: Column, lex: Lexicon = DEFAULT) -> Column:
     """Canonical skills with an alias in normalized ``text``, in dictionary order."""
     aliases = [alias for group in lex.skills.values() for alias in group]
-    table = F.array(*[F.struct(F.lit(name).alias("name"), words(group).alias("aliases")) for name, group in lex.skills.items()])
     return let(
         term_hits(text, aliases),
-        lambda hits: F.filter(table, lambda s: F.arrays_overlap(s["aliases"], hits)),
+        lambda hits: F.filter(_skill_table(lex), lambda s: F.arrays_overlap(s["aliases"], hits)),
     ).getField("name")
 
 
+def _skill_table(lex: Lexicon) -> Column:
+    """The dictionary as one constant: ``ARRAY<STRUCT<name, aliases>>``."""
+    rows = json.dumps([{"name": name, "aliases": group} for name, group in lex.skills.items()])
+    return F.from_json(F.lit(rows), "array<struct<name:string,aliases:array<string>>>")
+
+
 def base_tokens(text: Column, lex: Lexicon = DEFAULT) -> Column:
     """Word-like tokens of normalized ``text`` without stop words."""
     return F.filter(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: ~t.isin(lex.stop_words))
@@ -151,6 +158,8 @@ def top_terms(bag: Column, lex: Lexicon = DEFAULT) -> Column:
     return first(ranked_terms(kept), TOP_TERMS)
 
 
-def present_terms(text: Column, found_skills: Column, lex: Lexicon = DEFAULT) -> Column:
-    """Everything a role term can be matched with: the skills found, and every other free-standing term."""
-    return F.concat(found_skills, F.array_except(term_chunks(text), words(lex.skills)))
+def present_terms(text: Column, found_skills: Column, candidates: Column, lex: Lexicon = DEFAULT) -> Column:
+    """The candidates shown by a text: a skill by any of its aliases, every other term by itself."""
+    names = words(lex.skills)
+    plain = listed_terms(text, F.array_except(candidates, names))
+    return F.array_intersect(candidates, F.concat(found_skills, plain))

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rolegauge.functions.columns import first, let, occurrences, words
+from rolegauge.functions.columns import contains_any, first, let, occurrences, words
 from rolegauge.lexicon import DEFAULT, REPLACED_PHRASES, Lexicon
 
 # Every character Python and Unicode call white space.
@@ -19,12 +19,13 @@ TERM_CHAR = r"[a-z0-9+#.-]"
 
 # Fixed patterns.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-CONTACT = EMAIL + r"|\+?\p{Nd}[\p{Nd}" + SPACE[1:-1] + r"().-]{6,}\p{Nd}"
+PHONE = r"\+?\p{Nd}[\p{Nd}" + SPACE[1:-1] + r"().-]{6,}\p{Nd}"
 YEAR = r"(?U)\b(?:19|20)\p{Nd}{2}\b"
 DATE_MARKER = r"(?U)\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|\p{Nd}{4})\b"
 WORD = r"[\p{L}\p{N}_]+"
 TOKEN = r"(?U)\b[a-zA-Z][a-zA-Z+#.-]{1,}\b"
-METRIC = r"\p{Nd}|%|\$|increased|reduced|improved|optimized"
+FIGURE = r"[\p{Nd}%$]"
+RESULT_WORDS = ["increased", "reduced", "improved", "optimized"]
 
 
 def normalize(text: Column) -> Column:
@@ -48,6 +49,26 @@ def alternatives(values: Iterable[str]) -> str:
     return "|".join(re.escape(v) for v in values)
 
 
+def prefix_tree(values: Iterable[str]) -> str:
+    """A pattern for the longest value at a position. Values share their prefixes, so the cost per position does not
+    grow with their number."""
+    tree: dict = {}
+    for value in values:
+        node = tree
+        for char in value:
+            node = node.setdefault(char, {})
+        node[""] = {}
+
+    def render(node: dict) -> str:
+        branches = [re.escape(char) + render(child) for char, child in sorted(node.items()) if char]
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 and "" not in node else f"(?:{'|'.join(branches)})"
+        return body + ("?" if "" in node else "")
+
+    return render(tree)
+
+
 def hit_patterns(values: Iterable[str], char: str) -> list[str]:
     """Patterns whose group 1 finds every value that stands free of ``char`` characters on both sides.
 
@@ -62,7 +83,7 @@ def hit_patterns(values: Iterable[str], char: str) -> list[str]:
                 break
         else:
             layers.append([value])
-    return [rf"(?<!{char})(?=({alternatives(layer)})(?!{char}))" for layer in layers]
+    return [rf"(?<!{char})(?=({prefix_tree(layer)})(?!{char}))" for layer in layers]
 
 
 def term_hits(text: Column, values: Iterable[str]) -> Column:
@@ -77,9 +98,13 @@ def has_term(text: Column, value: Column) -> Column:
     return F.rlike(text, F.concat(F.lit(f"(?<!{TERM_CHAR})"), quoted, F.lit(f"(?!{TERM_CHAR})")))
 
 
-def term_chunks(text: Column) -> Column:
-    """The distinct maximal runs of term characters: a term without spaces stands free iff it is one of them."""
-    return F.array_distinct(F.split(text, r"[^a-z0-9+#.-]+"))
+def listed_terms(text: Column, values: Column) -> Column:
+    """Which of a few terms, given as an array column, stand free in ``text``. No term may begin another one followed
+    by a space."""
+    quoted = F.transform(values, lambda v: F.concat(F.lit(r"\Q"), v, F.lit(r"\E")))
+    pattern = F.concat(F.lit(f"(?<!{TERM_CHAR})(?=("), F.array_join(quoted, "|"), F.lit(f")(?!{TERM_CHAR}))"))
+    none = F.array().cast("array<string>")
+    return F.when(F.size(values) > 0, F.array_distinct(F.regexp_extract_all(text, pattern, F.lit(1)))).otherwise(none)
 
 
 def word_hits(text: Column, values: Iterable[str]) -> Column:
@@ -93,18 +118,16 @@ def word_count(text: Column) -> Column:
 
 
 def bullet_markers(text: Column) -> Column:
-    return occurrences(text, "- ") + occurrences(text, "\u2022") + occurrences(text, "* ")
+    return occurrences(text, ["- ", "\u2022", "* "])
 
 
 def typo_count(text: Column, lex: Lexicon = DEFAULT) -> Column:
-    total = F.lit(0)
-    for typo in lex.typos:
-        total = total + occurrences(text, typo)
-    return total
+    return occurrences(text, lex.typos)
 
 
 def has_contact(text: Column) -> Column:
-    return F.rlike(text, F.lit(CONTACT))
+    """An e-mail address or a phone-like number. Texts without "@" skip the costlier pattern."""
+    return (text.contains("@") & F.rlike(text, F.lit(EMAIL))) | F.rlike(text, F.lit(PHONE))
 
 
 def is_email(text: Column) -> Column:
@@ -128,13 +151,16 @@ def bullet_lines(raw: Column, shortest: int = 18) -> Column:
     return F.filter(cleaned, lambda line: F.length(line) >= shortest)
 
 
+def shows_result(text: Column, result_words: list[str]) -> Column:
+    """A figure, a percent or dollar sign, or a word that names a result."""
+    return F.rlike(text, F.lit(FIGURE)) | contains_any(text, result_words)
+
+
 def weak_bullets(raw: Column, lex: Lexicon = DEFAULT) -> Column:
     """The first three lines that use a weak phrase or show no result."""
-    weak = rf"{alternatives(lex.weak_verbs)}"
-    result = rf"{METRIC}|delivered"
 
     def improvable(line: Column) -> Column:
-        return let(normalize(line), lambda t: F.rlike(t, F.lit(weak)) | ~F.rlike(t, F.lit(result)))
+        return let(normalize(line), lambda t: contains_any(t, lex.weak_verbs) | ~shows_result(t, [*RESULT_WORDS, "delivered"]))
 
     return first(F.filter(bullet_lines(raw), improvable), 3)
 
@@ -152,7 +178,7 @@ def rewritten_bullet(bullet: Column, title: Column) -> Column:
             F.lit("Improved "), F.lower(F.substring(t, 1, 1)), _tail(t), role,
             F.lit(", adding measurable outcomes such as time saved, quality gains, or user impact."),
         )
-        return F.when(F.rlike(normalize(t), F.lit(METRIC)), t).otherwise(asking)
+        return F.when(let(normalize(t), lambda n: shows_result(n, RESULT_WORDS)), t).otherwise(asking)
 
     return compact(let(let(swapped, capitalized), finished), 240)
 

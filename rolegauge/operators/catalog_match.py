@@ -11,15 +11,13 @@ the results are ranked together.
 from __future__ import annotations
 
 import math
-import re
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rolegauge.functions.columns import clip_percent, first
 from rolegauge.functions.terms import cosine_of, skills, squared_norm, term_vector, tokens, weighted_bag
-from rolegauge.functions.text import normalize
+from rolegauge.functions.text import normalize, prefix_tree
 from rolegauge.lexicon import DEFAULT, Lexicon
 from rolegauge.sources.catalog import with_keywords
 
@@ -32,29 +30,6 @@ KEYWORD_SHARE, TERM_SHARE, THRESHOLD = 0.55, 0.45, 0.18
 TOP_MATCHES, MOST_MISSING = 5, 5
 
 
-def prefix_pattern(values: Iterable[str]) -> str:
-    """One pattern whose group 1 is the longest value starting at a position.
-
-    Values share their prefixes, so the cost per position does not grow with their number. Shorter values that
-    start at the same place are prefixes of the reported one; ``keyword_postings`` adds them back.
-    """
-    tree: dict = {}
-    for value in values:
-        node = tree
-        for char in value:
-            node = node.setdefault(char, {})
-        node[""] = {}
-
-    def render(node: dict) -> str:
-        branches = [re.escape(char) + render(child) for char, child in sorted(node.items()) if char]
-        if not branches:
-            return ""
-        body = branches[0] if len(branches) == 1 and "" not in node else f"(?:{'|'.join(branches)})"
-        return body + ("?" if "" in node else "")
-
-    return f"(?=({render(tree)}))"
-
-
 def role_vectors(catalog: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     """Roles with their term vector and its squared norm."""
     roles = with_keywords(catalog)
@@ -69,7 +44,10 @@ def role_vectors(catalog: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
 
 
 def keyword_postings(roles: DataFrame) -> DataFrame:
-    """(keyword the pattern reports) -> role and place of every role keyword that the report implies."""
+    """(keyword the pattern reports) -> role and place of every role keyword that the report implies.
+
+    The pattern reports the longest keyword at a position; the shorter ones there are its prefixes.
+    """
     placed = roles.select("job_id", F.posexplode("keywords").alias("place", "keyword"))
     known = placed.select(F.col("keyword").alias("term")).distinct()
     prefixes = known.select(
@@ -123,7 +101,7 @@ def score_slice(docs: DataFrame, catalog: DataFrame, n_masks: int, lex: Lexicon
     roles = role_vectors(catalog, lex)
     known = [r[0] for r in with_keywords(catalog).select(F.explode("keywords")).distinct().collect()]
     hits = (
-        F.array_distinct(F.regexp_extract_all("text", F.lit(prefix_pattern(known)), F.lit(1)))
+        F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?=({prefix_tree(known)}))"), F.lit(1)))
         if known
         else F.array().cast("array<string>")
     )

@@ -70,9 +70,8 @@ def with_similarity(docs: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
             "plain_similarity": F.when(given, cosine(F.col("plain_vector"), F.col("plain_target_vector"))),
             "role_similarity": F.when(given, cosine(F.col("vector"), F.col("role_vector"))),
             "candidates": F.when(given, top_terms(F.col("role_text_bag"), lex)),
-            "present": present_terms(F.col("text"), F.col("text_skills"), lex),
         }
-    )
+    ).withColumn("present", present_terms(F.col("text"), F.col("text_skills"), F.col("candidates"), lex))
 
 
 def with_target_match(docs: DataFrame) -> DataFrame:
@@ -119,7 +118,11 @@ def score_documents(docs: DataFrame, as_of_year: int, lex: Lexicon = DEFAULT) ->
     ``docs`` holds ``doc_id, raw_text, ext, title, description`` and any further columns. Works on batches and
     on streams.
     """
-    compared = with_target_match(with_similarity(termed(docs, lex), lex))
+    return score_termed(termed(docs, lex), as_of_year, lex)
+
+
+def score_termed(docs: DataFrame, as_of_year: int, lex: Lexicon = DEFAULT) -> DataFrame:
+    compared = with_target_match(with_similarity(docs, lex))
     return with_criteria(with_profile(compared, as_of_year, lex), lex)
 
 

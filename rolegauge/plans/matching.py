@@ -12,8 +12,11 @@ from rolegauge.plans.documents import colocated, termed, with_similarity, with_t
 
 
 def catalog_matches(docs: DataFrame, catalog: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
-    """``doc_id, roles``: up to five catalog roles per document in rank order, without a row where none fits."""
-    best = best_roles(termed(docs, lex), catalog, lex)
+    """``doc_id, roles``: up to five catalog roles per document in rank order, without a row where none fits.
+
+    ``docs`` comes from ``termed``.
+    """
+    best = best_roles(docs, catalog, lex)
     role = F.struct(
         F.col("place").alias("rank"), F.lit("catalog").alias("source"), "job_id", "title", "description", "match_score",
         "matched", "missing",
@@ -30,6 +33,6 @@ def merged(docs: DataFrame) -> DataFrame:
 
 def match_documents(docs: DataFrame, catalog: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     """``doc_id, matches`` for every document; the list is empty where nothing fits."""
-    local = colocated(docs)
-    targets = with_target_match(with_similarity(termed(local, lex), lex)).select("doc_id", "target_match")
+    local = termed(colocated(docs), lex)
+    targets = with_target_match(with_similarity(local, lex)).select("doc_id", "target_match")
     return merged(targets.join(catalog_matches(local, catalog, lex), "doc_id", "left")).select("doc_id", "matches")

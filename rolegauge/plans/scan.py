@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from rolegauge.functions.text import bullet_rewrites
 from rolegauge.lexicon import DEFAULT, Lexicon
 from rolegauge.operators.advice import analysis_steps, suggestions
-from rolegauge.plans.documents import colocated, score_documents
+from rolegauge.plans.documents import colocated, score_termed, termed
 from rolegauge.plans.matching import catalog_matches, merged
 from rolegauge.sources.reports import labelled
 
 
 def analyzed(docs: DataFrame, catalog: DataFrame, as_of_year: int, lex: Lexicon = DEFAULT) -> DataFrame:
     """Scores, matches, suggestions, steps and rewrites of every document."""
-    local = colocated(docs)
-    scored = score_documents(local, as_of_year, lex)
+    local = termed(colocated(docs), lex)
+    scored = score_termed(local, as_of_year, lex)
     both = merged(scored.join(catalog_matches(local, catalog, lex), "doc_id", "left"))
     scores, matches, p, title = F.col("criteria"), F.col("matches"), F.col("profile"), F.col("title")
     return both.withColumns(
