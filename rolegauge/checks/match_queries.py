@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rolegauge.checks import corpus as X
+from rolegauge.checks.plans import planned
 from rolegauge.functions import terms
 from rolegauge.operators.advice import most_missing
 from rolegauge.operators.catalog_match import catalog_scores, slices, with_role_details
@@ -19,10 +20,12 @@ def bar(array):
     return F.array_join(array, "|")
 
 
+@planned
 def vectors(spark, folder):
     return D.termed(D.colocated(X.corpus(spark, folder)))
 
 
+@planned
 def compared(spark, folder):
     return D.with_similarity(vectors(spark, folder)).filter(F.col("target") != "")
 
@@ -93,6 +96,7 @@ def catalog_keywords_split(spark, folder):
     return named.select("doc_id", "job_id", bar(F.col("matched")).alias("matched"), bar(F.col("missing")).alias("missing"))
 
 
+@planned
 def matched(spark, folder):
     return match_documents(X.corpus(spark, folder), X.catalog(spark, folder))
 

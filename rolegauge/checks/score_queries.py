@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rolegauge import lexicon as L
 from rolegauge.checks import corpus as X
 from rolegauge.checks.sentences import AS_OF_YEAR
+from rolegauge.checks.plans import planned
 from rolegauge.checks.sql import base as B
 from rolegauge.operators import criteria as C
 from rolegauge.plans import documents as D
@@ -16,10 +17,12 @@ LABELS = L.DEFAULT.labels()
 COLUMNS = {"education": "education_score", "skills": "skills_score"}
 
 
+@planned
 def scored(spark, folder):
     return D.score_documents(D.colocated(X.corpus(spark, folder)), AS_OF_YEAR)
 
 
+@planned
 def full(spark, folder):
     return analyzed(X.corpus(spark, folder), X.catalog(spark, folder), AS_OF_YEAR)
 

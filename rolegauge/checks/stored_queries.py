@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rolegauge.checks import corpus as X
 from rolegauge.checks import files as Files
+from rolegauge.checks.plans import planned
 from rolegauge.checks.sql import base as B
 from rolegauge.checks.sql import stored as S
 from rolegauge.operators import history as H
@@ -25,6 +26,7 @@ def access(spark, folder):
     return H.access_pairs(X.users(spark, folder))
 
 
+@planned
 def recent(spark, folder):
     return H.newest(X.reports(spark, folder), access(spark, folder))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rolegauge import lexicon as L
 from rolegauge.checks import corpus as X
 from rolegauge.checks.sentences import AS_OF_YEAR
+from rolegauge.checks.plans import planned
 from rolegauge.checks.sql import base as B
 from rolegauge.checks.sql import stored  # noqa: F401  (registers its sub-queries)
 from rolegauge.functions import experience, terms
@@ -22,14 +23,17 @@ LEX = L.DEFAULT
 ALIASES = sorted({a for group in LEX.skills.values() for a in group})
 
 
+@planned
 def named(spark: SparkSession, folder: str) -> DataFrame:
-    return D.with_text(X.corpus(spark, folder))
+    return D.with_text(D.colocated(X.corpus(spark, folder)))
 
 
+@planned
 def skilled(spark: SparkSession, folder: str) -> DataFrame:
     return D.with_skills(named(spark, folder))
 
 
+@planned
 def profiled(spark: SparkSession, folder: str) -> DataFrame:
     return D.with_profile(skilled(spark, folder), AS_OF_YEAR)
 

@@ -18,8 +18,13 @@ from rolegauge.operators.target import target_match, target_text
 
 def colocated(docs: DataFrame) -> DataFrame:
     """One shuffle of the narrow input rows by document. Everything a scan does later is then local to a partition,
-    and a single large input split no longer keeps the work in one task."""
-    return docs.repartition("doc_id")
+    and a single large input split no longer keeps the work in one task.
+
+    The number is the session's own, given explicitly: scoring costs far more time than its input has bytes, so
+    merging small partitions afterwards would only idle cores.
+    """
+    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(count, "doc_id")
 
 
 def with_text(docs: DataFrame) -> DataFrame:
