@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rolegauge.checks import corpus as X
 from rolegauge.checks.plans import planned
+from rolegauge.checks.sentences import AS_OF_YEAR
 from rolegauge.functions import terms
 from rolegauge.operators.advice import most_missing
 from rolegauge.operators.catalog_match import catalog_scores, slices, with_role_details
@@ -115,8 +116,9 @@ def missing_top(spark, folder):
 
 
 def report_build(spark, folder):
-    rows = scan(X.corpus(spark, folder), X.catalog(spark, folder), 2026)
-    stored = R.numbered(rows, "doc_id", X.reports(spark, folder))
+    docs = X.corpus(spark, folder)
+    ids = R.report_ids(docs, "doc_id", X.reports(spark, folder))
+    stored = scan(docs, X.catalog(spark, folder), AS_OF_YEAR).join(ids, "doc_id")
     analysis = F.col("analysis")
     return stored.select(
         "id", "user_id", "filename", R.timestamp_text(F.col("uploaded_at")).alias("uploaded_at"), "score",

@@ -29,7 +29,7 @@ def analyzed(docs: DataFrame, catalog: DataFrame, as_of_year: int, lex: Lexicon
 
 
 def report_rows(analysis: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
-    """Report rows with nested payloads. Keeps ``doc_id``; ids are given when the rows are stored."""
+    """Report rows with nested payloads, by ``doc_id``; ``report_ids`` gives the ids to join."""
     title = F.coalesce("title", F.lit(""))
     match = F.transform(
         "matches",

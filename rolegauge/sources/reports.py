@@ -147,11 +147,14 @@ def labelled(values: Column, lex: Lexicon = DEFAULT) -> Column:
     return F.map_from_arrays(labels, F.array(*[values[key] for key in CRITERION_KEYS]))
 
 
-def numbered(reports: DataFrame, order: str, stored: DataFrame) -> DataFrame:
-    """Give new reports the ids that follow those of the ``stored`` ones."""
+def report_ids(docs: DataFrame, key: str, stored: DataFrame) -> DataFrame:
+    """``key, id``: the ids that follow those of the ``stored`` reports, in the order of ``key``.
+
+    Only the keys are counted, so ids cost no second scan of the documents.
+    """
     last = stored.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("next_id"))
-    placed = number_rows(reports, "offset", order=order).crossJoin(F.broadcast(last))
-    return placed.withColumn("id", F.col("next_id") + F.col("offset")).drop("next_id", "offset")
+    placed = number_rows(docs.select(key), "offset", order=key).crossJoin(F.broadcast(last))
+    return placed.select(key, (F.col("next_id") + F.col("offset")).alias("id"))
 
 
 def append_reports(reports: DataFrame, path: str) -> None:
