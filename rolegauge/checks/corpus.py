@@ -25,14 +25,13 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with a snippet, a file type, a target role and an owner."""
     docs = table(spark, folder, "documents")
     bench = table(spark, folder, "benchmark").select("item_id", F.col("text").alias("bench_text"))
-    size = bench.agg(F.count("*").alias("n_bench"))
+    size = bench.agg(F.count("*")).scalar()
     number = F.col("doc_id")
     described = F.when(
         number % 5 != 0, F.concat_ws(" ", F.col("bench_text"), pick(REQUIREMENTS, number))
     )
     return (
-        docs.crossJoin(F.broadcast(size))
-        .withColumn("item_id", F.pmod(number, F.col("n_bench")))
+        docs.withColumn("item_id", F.pmod(number, size))
         .join(bench, "item_id", "left")
         .select(
             "doc_id",
@@ -63,17 +62,13 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
 def users(spark: SparkSession, folder: str) -> DataFrame:
     """Users seen in the events; the lowest id is the admin, some ids are left out."""
     seen = table(spark, folder, "events").groupBy("user_id").agg(F.min("ts").alias("created_at"))
-    lowest = seen.agg(F.min("user_id").alias("lowest"))
-    return (
-        seen.filter(F.col("user_id") % 13 != 5)
-        .crossJoin(F.broadcast(lowest))
-        .select(
-            F.col("user_id").alias("id"),
-            F.when(F.col("user_id") == F.col("lowest"), F.lit("admin"))
-            .otherwise(F.concat(F.lit("user_"), F.col("user_id").cast("string")))
-            .alias("username"),
-            "created_at",
-        )
+    lowest = seen.agg(F.min("user_id")).scalar()
+    return seen.filter(F.col("user_id") % 13 != 5).select(
+        F.col("user_id").alias("id"),
+        F.when(F.col("user_id") == lowest, F.lit("admin"))
+        .otherwise(F.concat(F.lit("user_"), F.col("user_id").cast("string")))
+        .alias("username"),
+        "created_at",
     )
 
 

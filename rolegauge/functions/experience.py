@@ -6,13 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rolegauge.functions.columns import let
-from rolegauge.functions.text import alternatives
+from rolegauge.functions.text import WORD_CHAR, alternatives
 from rolegauge.lexicon import WORK_CONTEXT_WORDS
 
 # Fixed patterns and limits.
 EXPLICIT = [
-    r"(?U)\b([0-9]{1,2})\+?\s*(?:years|yrs)(?:\s+of)?\s+(?:work\s+)?experience\b",
-    r"(?U)\bexperience(?:\s+of|\s*:)?\s*([0-9]{1,2})\+?\s*(?:years|yrs)\b",
+    rf"(?=[0-9])(?<!{WORD_CHAR})([0-9]{{1,2}})\+?\s*(?:years|yrs)(?:\s+of)?\s+(?:work\s+)?experience(?!{WORD_CHAR})",
+    rf"(?=e)(?<!{WORD_CHAR})experience(?:\s+of|\s*:)?\s*([0-9]{{1,2}})\+?\s*(?:years|yrs)(?!{WORD_CHAR})",
 ]
 MONTH = (
     "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|jun(?:e)?|jul(?:y)?|aug(?:ust)?|"

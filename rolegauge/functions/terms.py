@@ -13,11 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rolegauge.functions.columns import first, let, words
-from rolegauge.functions.text import TOKEN, listed_terms, normalize, term_hits
+from rolegauge.functions.text import TOKEN, WORD_CHAR, listed_terms, normalize, term_hits
 from rolegauge.lexicon import DEFAULT, REQUIREMENT_PHRASES, Lexicon
 
 # Fixed patterns and limits.
-REQUIREMENT = r"(?U)\b(?:" + "|".join(REQUIREMENT_PHRASES) + r")\s+([^.;:\n]+)"
+REQUIREMENT = rf"(?<!{WORD_CHAR})(?:{'|'.join(REQUIREMENT_PHRASES)})\s+([^.;:\n]+)"
 SKILL_BONUS = 3
 REQUIREMENT_BONUS = 2
 TOP_TERMS = 18

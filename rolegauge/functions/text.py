@@ -16,14 +16,20 @@ SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 # Characters that may belong to a technical term, so "sql" is not found in "nosql" or "sql-like".
 TERM_CHAR = r"[a-z0-9+#.-]"
+# What counts as part of a word; the engine's own \w and \b leave out some numerals and follow the Java version.
+WORD_CHAR = r"[\p{L}\p{N}_]"
 
 # Fixed patterns.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"\+?\p{Nd}[\p{Nd}" + SPACE[1:-1] + r"().-]{6,}\p{Nd}"
-YEAR = r"(?U)\b(?:19|20)\p{Nd}{2}\b"
-DATE_MARKER = r"(?U)\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|\p{Nd}{4})\b"
-WORD = r"[\p{L}\p{N}_]+"
-TOKEN = r"(?U)\b[a-zA-Z][a-zA-Z+#.-]{1,}\b"
+# The first, cheap look-ahead spares most positions the costlier word border.
+YEAR = rf"(?=[12])(?<!{WORD_CHAR})(?:19|20)\p{{Nd}}{{2}}(?!{WORD_CHAR})"
+DATE_MARKER = (
+    rf"(?=[jfmasond\p{{Nd}}])(?<!{WORD_CHAR})(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|\p{{Nd}}{{4}})(?!{WORD_CHAR})"
+)
+WORD = WORD_CHAR + "+"
+# A token may end in a letter before a border, or in a sign before a word character.
+TOKEN = rf"(?<!{WORD_CHAR})[a-zA-Z][a-zA-Z+#.-]+(?:(?<=[a-zA-Z])(?!{WORD_CHAR})|(?<=[+#.-])(?={WORD_CHAR}))"
 FIGURE = r"[\p{Nd}%$]"
 RESULT_WORDS = ["increased", "reduced", "improved", "optimized"]
 
@@ -69,7 +75,7 @@ def prefix_tree(values: Iterable[str]) -> str:
     return render(tree)
 
 
-def hit_patterns(values: Iterable[str], char: str) -> list[str]:
+def hit_patterns(values: Iterable[str], char: str, same_in_python: str | None = None) -> list[str]:
     """Patterns whose group 1 finds every value that stands free of ``char`` characters on both sides.
 
     One pattern reports one value per position. Values that may start at the same position ("unit", "unit test")
@@ -78,7 +84,7 @@ def hit_patterns(values: Iterable[str], char: str) -> list[str]:
     layers: list[list[str]] = []
     for value in sorted(set(values), key=lambda v: (-len(v), v)):
         for layer in layers:
-            if not any(v.startswith(value) and not re.match(char, v[len(value)]) for v in layer):
+            if not any(v.startswith(value) and not re.match(same_in_python or char, v[len(value)]) for v in layer):
                 layer.append(value)
                 break
         else:
@@ -109,7 +115,7 @@ def listed_terms(text: Column, values: Column) -> Column:
 
 def word_hits(text: Column, values: Iterable[str]) -> Column:
     """Sorted distinct values that occur as whole words."""
-    found = [F.regexp_extract_all(text, F.lit("(?U)" + p), F.lit(1)) for p in hit_patterns(values, r"\w")]
+    found = [F.regexp_extract_all(text, F.lit(p), F.lit(1)) for p in hit_patterns(values, WORD_CHAR, r"\w")]
     return F.sort_array(F.array_distinct(F.concat(*found)))
 
 
@@ -167,7 +173,7 @@ def weak_bullets(raw: Column, lex: Lexicon = DEFAULT) -> Column:
 
 def rewritten_bullet(bullet: Column, title: Column) -> Column:
     """Replace weak phrases; where no result is named, add the sentence that asks for one."""
-    swapped = F.regexp_replace(bullet, rf"(?iU)\b(?:{alternatives(REPLACED_PHRASES)})\b", "Delivered")
+    swapped = F.regexp_replace(bullet, rf"(?i)(?<!{WORD_CHAR})(?:{alternatives(REPLACED_PHRASES)})(?!{WORD_CHAR})", "Delivered")
 
     def capitalized(t: Column) -> Column:
         return F.concat(F.upper(F.substring(t, 1, 1)), _tail(t))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rolegauge.functions.columns import clip_percent, contained, contains_count, first, joined
 from rolegauge.functions.text import (
-    alternatives, bullet_markers, compact, date_markers, has_contact, normalize, typo_count, year_markers,
+    SPACE, WORD_CHAR, alternatives, bullet_markers, compact, date_markers, has_contact, normalize, typo_count, year_markers,
 )
 from rolegauge.lexicon import (
     CRITERION_KEYS, DEFAULT, DEGREE_REASON_WORDS, DEGREE_WORDS, GPA_VALUES, PROFILE_LINKS, SUMMARY_MARKERS,
@@ -28,11 +28,11 @@ def _any(text: Column, values: list[str]) -> Column:
 
 
 def impact_verbs(text: Column, lex: Lexicon = DEFAULT) -> Column:
-    return F.regexp_count(text, F.lit(rf"(?U)\b(?:{alternatives(lex.impact_verbs)})\b"))
+    return F.regexp_count(text, F.lit(rf"(?<!{WORD_CHAR})(?:{alternatives(lex.impact_verbs)})(?!{WORD_CHAR})"))
 
 
 def spacing_issues(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(r"[\s\x1c-\x1f\x85\p{Z}]{2,}"))
+    return F.regexp_count(text, F.lit(SPACE + "{2,}"))
 
 
 def signals(text: Column, lex: Lexicon = DEFAULT) -> dict[str, Column]:

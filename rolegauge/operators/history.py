@@ -138,14 +138,12 @@ def recent_contacts(contacts: DataFrame, users: DataFrame, count: int = NEWEST)
 
 def counts(reports: DataFrame, users: DataFrame, catalog: DataFrame) -> DataFrame:
     """One row with the sizes of the three tables."""
-    parts = [
-        table.agg(F.count("*").alias(name))
-        for name, table in (("report_count", reports), ("user_count", users), ("role_count", catalog))
-    ]
-    return parts[0].crossJoin(parts[1]).crossJoin(parts[2])
+    sizes = {"report_count": reports, "user_count": users, "role_count": catalog}
+    one = reports.sparkSession.range(1)
+    return one.select(*[table.agg(F.count("*")).scalar().alias(name) for name, table in sizes.items()])
 
 
 def new_users(candidates: DataFrame, users: DataFrame, order: str) -> DataFrame:
     """Candidates whose username is not taken, the first of each username by ``order``."""
     firsts = candidates.groupBy("username").agg(F.min_by(F.struct(*candidates.columns), order).alias("row")).select("row.*")
-    return firsts.join(users.select("username"), "username", "left_anti")
+    return firsts.join(users.select("username"), "username", "left_anti").select(*candidates.columns)

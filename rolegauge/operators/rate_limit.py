@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolegauge.session import ensure_checkpoint_dir
+from rolegauge.session import ensure_checkpoint_dir, shuffle_partitions
 
 
 def judge(times: np.ndarray, accepted: deque, limit: int, window: int) -> np.ndarray:
@@ -72,7 +72,7 @@ def rate_limit(attempts: DataFrame, keys: list[str], ts: str, order: str, limit:
     shaped = attempts.withColumn("_key", F.to_json(F.struct(*keys))).withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")))
     placed = ["_key", "_at", order]
     # The checkpoint fixes the partition borders; later rounds rely on them.
-    ordered = shaped.repartitionByRange(*placed).sortWithinPartitions(*placed).checkpoint()
+    ordered = shaped.repartitionByRange(shuffle_partitions(spark), *placed).sortWithinPartitions(*placed).checkpoint()
     numbered = ordered.withColumn("_part", F.spark_partition_id())
 
     ends: dict[int, tuple] = {}

@@ -14,6 +14,7 @@ from rolegauge.functions.text import normalize, strip, word_count, word_hits
 from rolegauge.lexicon import DEFAULT, EDUCATION_WORDS, Lexicon
 from rolegauge.operators import criteria as C
 from rolegauge.operators.target import target_match, target_text
+from rolegauge.session import shuffle_partitions
 
 
 def colocated(docs: DataFrame) -> DataFrame:
@@ -23,8 +24,7 @@ def colocated(docs: DataFrame) -> DataFrame:
     The number is the session's own, given explicitly: scoring costs far more time than its input has bytes, so
     merging small partitions afterwards would only idle cores.
     """
-    count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.repartition(count, "doc_id")
+    return docs.repartition(shuffle_partitions(docs.sparkSession), "doc_id")
 
 
 def with_text(docs: DataFrame) -> DataFrame:

@@ -31,3 +31,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rolegauge-checkpoint-"))
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's own number, for shuffles whose partitions must not be merged afterwards."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -38,10 +38,9 @@ def read_catalog(spark: SparkSession, path: str | None) -> DataFrame:
 
 def append_roles(catalog: DataFrame, new_rows: DataFrame, order: str) -> DataFrame:
     """The catalog followed by the new rows, numbered after the last one in the order of ``order``."""
-    last = catalog.agg((F.coalesce(F.max("job_id"), F.lit(-1)) + 1).alias("next_id"))
-    placed = number_rows(new_rows, "offset", order=order).crossJoin(F.broadcast(last))
-    added = placed.select(
-        (F.col("next_id") + F.col("offset")).alias("job_id"),
+    next_id = catalog.agg(F.coalesce(F.max("job_id"), F.lit(-1)) + 1).scalar()
+    added = number_rows(new_rows, "offset", order=order).select(
+        (next_id + F.col("offset")).alias("job_id"),
         strip(F.col("title")).alias("title"),
         strip(F.col("keywords")).alias("keywords"),
         strip(F.coalesce(F.col("description"), F.lit(""))).alias("description"),

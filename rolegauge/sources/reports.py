@@ -152,9 +152,9 @@ def report_ids(docs: DataFrame, key: str, stored: DataFrame) -> DataFrame:
 
     Only the keys are counted, so ids cost no second scan of the documents.
     """
-    last = stored.agg((F.coalesce(F.max("id"), F.lit(0)) + 1).alias("next_id"))
-    placed = number_rows(docs.select(key), "offset", order=key).crossJoin(F.broadcast(last))
-    return placed.select(key, (F.col("next_id") + F.col("offset")).alias("id"))
+    next_id = stored.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).scalar()
+    placed = number_rows(docs.select(key), "offset", order=key)
+    return placed.select(key, (next_id + F.col("offset")).alias("id"))
 
 
 def append_reports(reports: DataFrame, path: str) -> None:
@@ -164,9 +164,5 @@ def append_reports(reports: DataFrame, path: str) -> None:
 
 
 def backfill_owner(reports: DataFrame, primary: DataFrame) -> DataFrame:
-    """Reports without an owner go to the primary user; ``primary`` is the one-row frame ``primary_id``."""
-    return (
-        reports.join(F.broadcast(primary), how="cross")
-        .withColumn("user_id", F.coalesce("user_id", "primary_id"))
-        .drop("primary_id")
-    )
+    """Reports without an owner go to the primary user; ``primary`` holds that one id, or NULL without users."""
+    return reports.withColumn("user_id", F.coalesce("user_id", primary.scalar()))
