@@ -15,9 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rolegauge.functions.text import strip
 from rolegauge.session import ensure_checkpoint_dir, shuffle_partitions
 
 
@@ -64,8 +65,21 @@ def _judged(batches: Iterator[pd.DataFrame], starts: dict, limit: int, window: i
         yield pd.DataFrame({"part": [part], "first_key": [first_key], "last_key": [key], "state": [list(accepted)]})
 
 
-def rate_limit(attempts: DataFrame, keys: list[str], ts: str, order: str, limit: int, seconds: int) -> DataFrame:
-    """``attempts`` with a column ``accepted``. ``order`` breaks ties of equal times."""
+def client_key(forwarded: Column, address: Column) -> Column:
+    """The client of an attempt: the first forwarded address when there is one, else the direct one."""
+    return strip(F.get(F.split(F.coalesce(forwarded, F.nullif(address, F.lit("")), F.lit("local")), ","), F.lit(0)))
+
+
+def rate_limit(
+    attempts: DataFrame, keys: list[str], ts: str, order: str, limit: int, seconds: int, counted: Column | None = None
+) -> DataFrame:
+    """``attempts`` with a column ``accepted``. ``order`` breaks ties of equal times.
+
+    Attempts that are not ``counted`` (a mere page view) are accepted and leave no trace.
+    """
+    if counted is not None:
+        free = attempts.filter(~F.coalesce(counted, F.lit(False))).withColumn("accepted", F.lit(True))
+        return rate_limit(attempts.filter(counted), keys, ts, order, limit, seconds).unionByName(free)
     spark = attempts.sparkSession
     ensure_checkpoint_dir(spark)
     window = seconds * 1_000_000

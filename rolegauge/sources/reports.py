@@ -141,6 +141,12 @@ def export_lines(reports: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     return lines.select("id", "line_no", F.substring("line", 1, LINE_CHARS).alias("line"))
 
 
+def write_pages(reports: DataFrame, path: str, lex: Lexicon = DEFAULT) -> None:
+    """The exported page of each report as a text file in a folder of its own; meant for a selection of reports."""
+    cut = F.transform(first(report_lines(lex), PAGE_LINES), lambda line: F.substring(line, 1, LINE_CHARS))
+    with_payload(reports).select("id", F.array_join(cut, "\n").alias("page")).write.partitionBy("id").text(path)
+
+
 def labelled(values: Column, lex: Lexicon = DEFAULT) -> Column:
     """A criterion struct as a map from label to value, in criterion order."""
     labels = F.array(*[F.lit(label) for label in lex.labels()])

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rolegauge.operators.rate_limit import judge, rate_limit
+from rolegauge.operators.rate_limit import client_key, judge, rate_limit
 from rolegauge.plans.scan import scan
 from rolegauge.sources.catalog import default_catalog
 from rolegauge.streaming.attempts import limit_stream
@@ -89,3 +89,12 @@ def test_continuous_scan_equals_batch(spark, tmp_path):
     expected = scan(spark.createDataFrame(rows, shape), catalog, 2026)
     assert sorted(map(tuple, stored.select("doc_id", "score").collect())) == sorted(map(tuple, expected.select("doc_id", "score").collect()))
     assert stored.select("id").distinct().count() == 6
+
+
+def test_client_key_and_uncounted_attempts(spark):
+    df = spark.createDataFrame([(" 1.2.3.4 , 5.6.7.8", "9.9.9.9"), (None, "9.9.9.9"), (None, None)], "f string, a string")
+    assert [r[0] for r in df.select(client_key(F.col("f"), F.col("a"))).collect()] == ["1.2.3.4", "9.9.9.9", "local"]
+    rows = [(n, "k", START + timedelta(seconds=n), "GET" if n % 2 else "POST") for n in range(8)]
+    seen = spark.createDataFrame(rows, "n bigint, key string, ts timestamp, method string")
+    got = rate_limit(seen, ["key"], "ts", "n", 2, 60, counted=F.col("method") != "GET")
+    assert {r["n"] for r in got.filter("accepted").collect()} == {0, 1, 2, 3, 5, 7}

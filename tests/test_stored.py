@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from rolegauge.operators import history as H
 from rolegauge.operators import validation as V
 from rolegauge.operators.numbering import number_rows
-from rolegauge.schemas import STORED_REPORTS_DDL, USERS_DDL, conform, read_or_empty, schema
+from rolegauge.schemas import CONTACTS_DDL, STORED_REPORTS_DDL, USERS_DDL, conform, read_or_empty, schema
 from rolegauge.sources import catalog as Cat
 from rolegauge.sources import reports as R
+from rolegauge.sources.contacts import append_contacts
 
 DAY = datetime(2025, 1, 1)
 
@@ -157,3 +158,21 @@ def test_catalog_and_username_rules(spark):
     assert [r[0] for r in df.select(V.username_reason(F.col("u"), F.col("taken"))).collect()] == [
         "too short", "characters", "taken", None, "too short",
     ]
+
+
+def test_contact_table(spark, tmp_path):
+    rows = [(1, None, " Al ", "a@b.io", None, "Hi ", DAY), (2, 5, "Bo", "no", "", "Hi", DAY)]
+    messages = spark.createDataFrame(rows, CONTACTS_DDL)
+    append_contacts(messages, str(tmp_path / "contacts"))
+    append_contacts(messages, str(tmp_path / "contacts"))
+    stored = spark.read.parquet(str(tmp_path / "contacts")).collect()
+    assert [tuple(r)[:6] for r in stored] == [(1, None, "Al", "a@b.io", "", "Hi")] * 2
+    people = users(spark, [(5, "ann")])
+    newest = H.recent_contacts(messages, people).orderBy("id").collect()
+    assert [(r["id"], r["username"]) for r in newest] == [(1, None), (2, "ann")]
+
+
+def test_pages_as_text(spark, tmp_path):
+    R.write_pages(reports(spark, [(1, 1, 0, 5), (2, 1, 0, 6)]), str(tmp_path / "pages"))
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "pages" / "id=2")).collect()]
+    assert lines[1] == "File: f2.txt" and lines[3] == "Score: 6 / 100"
