@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
+from rolegauge.storage import shared_folder
+
 
 def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks."""
@@ -28,11 +28,9 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a fresh folder only where none is set (tests)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="rolegauge-checkpoint-"))
+    """Use the shared folder the cluster names. Without one a local session takes a temporary folder; a cluster raises an error."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
