@@ -4,19 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rolegauge.llm.decontaminate import find_leaks
+from rolegauge.llm.quality import quality_rules
 from rolegauge.llm.secret_scan import scan_secrets
+from rolegauge.llm.warc import read_archives, write_archives
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = read_archives(write_archives(table(spark, folder, "pages")), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = """
+SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN strlen(html) >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(html) >= 1000 AND page_id < top THEN top END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
+"""
+
+
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+OP2_SQL = """
+WITH words AS (
+  SELECT 'd' AS side, doc_id AS id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents
+  UNION ALL SELECT 'b', item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM benchmark),
+places AS (SELECT side, id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5),
+grams AS (SELECT DISTINCT side, id, array_to_string(w[i:i + 4], ' ') AS g FROM places),
+sizes AS (SELECT id, count(*) AS n FROM grams WHERE side = 'b' GROUP BY id),
+shared AS (
+  SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared
+  FROM grams d JOIN grams b ON d.g = b.g WHERE d.side = 'd' AND b.side = 'b' GROUP BY 1, 2)
+SELECT doc_id, item_id, n AS n_shingles, n_shared, n_shared / n AS containment
+FROM shared JOIN sizes ON item_id = id WHERE n_shared >= 0.8 * n
+"""
+
+
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
 
 
 ENTRIES = {
+    "op1_warc": (op1_warc, OP1_SQL),
+    "op2_decontaminate": (op2_decontaminate, OP2_SQL),
     "op9_secret_scan": (op9_secret_scan, None),
+    "op10_quality": (op10_quality, None),
 }
 
 
