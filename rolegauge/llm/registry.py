@@ -5,8 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rolegauge.llm.decontaminate import find_leaks
+from rolegauge.llm.jaccard_join import jaccard_join
+from rolegauge.llm.language import identify_languages
+from rolegauge.llm.mixing import mixture_weights
+from rolegauge.llm.mixing_sql import statement as mixing_statement
+from rolegauge.llm.passages import repeated_passages
 from rolegauge.llm.quality import quality_rules
 from rolegauge.llm.secret_scan import scan_secrets
+from rolegauge.llm.token_files import read_token_files, write_token_files
+from rolegauge.llm.toxicity import score_toxicity
 from rolegauge.llm.warc import read_archives, write_archives
 
 
@@ -50,6 +57,30 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture_weights(table(spark, folder, "documents"))
+
+
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join(table(spark, folder, "documents"))
+
+
+def op5_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    return identify_languages(table(spark, folder, "documents"))
+
+
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return read_token_files(write_token_files(table(spark, folder, "documents")), with_ids=False)
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
 
@@ -57,6 +88,12 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 ENTRIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
+    "op3_mixing": (op3_mixing, mixing_statement()),
+    "op4_jaccard_join": (op4_jaccard_join, None),
+    "op5_passages": (op5_passages, None),
+    "op6_language": (op6_language, None),
+    "op7_token_files": (op7_token_files, None),
+    "op8_toxicity": (op8_toxicity, None),
     "op9_secret_scan": (op9_secret_scan, None),
     "op10_quality": (op10_quality, None),
 }
