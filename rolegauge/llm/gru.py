@@ -30,8 +30,8 @@ class Words:
         for width in (3, 4):
             rolled = (rolled[:-1] ^ (rolled[:-1] >> np.uint32(13))) * np.uint32(31) + total[width - 1 :]
             inside = owner[: len(rolled)] == owner[width - 1 :]
-            grams.append(((rolled[inside] * GRAM) >> np.uint32(18)).astype(np.int64))
-            owners.append(owner[: len(rolled)][inside])
+            grams.append(((rolled[inside] * GRAM) >> np.uint32(18)).astype(np.int32))
+            owners.append(owner[: len(rolled)][inside].astype(np.int32))
         self.grams, self.owners = np.concatenate(grams), np.concatenate(owners)
         self.count = np.maximum(np.bincount(self.owners, minlength=len(words)), 1).astype(np.float32)
 

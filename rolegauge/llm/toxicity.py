@@ -1,7 +1,7 @@
 """Toxicity of whole texts: the recurrent network of `gru` scores all overlapping windows; the largest window counts.
 
-Learning: at most TRAIN_PER_CLASS labelled documents of each class with up to TRAIN_CHARS characters, chosen by a hash of the id among the
-rows that are not held out. A label belongs to the document, not to a window, so training takes the windows that look worst: at first by
+Learning: at most TRAIN_TOXIC labelled documents of class 1 and TRAIN_OTHER of class 0, with up to TRAIN_CHARS characters, chosen by a
+hash of the id among the rows that are not held out. A label belongs to the document, not to a window, so training takes the windows that look worst: at first by
 smoothed log-odds of words and character grams (these also start the embeddings' first column), then by the network itself. A logistic
 fit of the documents' largest log-odds gives scores between 0 and 1.
 
@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from rolegauge.llm.batches import map_texts
 from rolegauge.llm.gru import BUCKETS, Adam, Words, forward, new_params, sigmoid, slopes_of
-from rolegauge.llm.shingles import words_of
+from rolegauge.llm.shingles import HASHES, words_of
 from rolegauge.llm.splits import held_out, learnable, sample_of_each
 
-TRAIN_PER_CLASS, TRAIN_CHARS = 1500, 12_000
+TRAIN_TOXIC, TRAIN_OTHER, TRAIN_CHARS = 1200, 3600, 12_000
 WINDOW, STRIDE = 32, 16
 PREDICT_FROM = 0.3
 WINDOWS_AT_ONCE, BATCH = 4096, 192
@@ -79,28 +79,21 @@ class ToxicityModel:
         return np.where(np.isfinite(best), sigmoid(self.slope * np.maximum(best, -50) + self.offset), 0.0)
 
 
-def log_odds(bucket: np.ndarray, owner: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Smoothed log-odds of class 1 for each bucket, by the documents that have it."""
-    pairs = np.unique(owner * BUCKETS + bucket)
-    toxic = label[pairs // BUCKETS] > 0
-    share = label.mean()
-    one = np.bincount(pairs[toxic] % BUCKETS, minlength=BUCKETS) + PRIOR * share
-    zero = np.bincount(pairs[~toxic] % BUCKETS, minlength=BUCKETS) + PRIOR * (1 - share)
-    return np.log(one / zero) - np.log(share / (1 - share))
+def log_odds(found: np.ndarray, share: float) -> np.ndarray:
+    """Smoothed log-odds of class 1 for each bucket, from the numbers of documents of class 0 and 1 that have it."""
+    return np.log((found[1] + PRIOR * share) / (found[0] + PRIOR * (1 - share))) - np.log(share / (1 - share))
 
 
-def start_embeddings(params: dict, texts: Texts, label: np.ndarray) -> np.ndarray:
+def start_embeddings(params: dict, texts: Texts, vocabulary: WordSubset, label: np.ndarray) -> np.ndarray:
     """Put the log-odds in the first column of both embeddings; a first value for each distinct word."""
-    live = texts.mask > 0
-    pairs = np.unique(np.repeat(texts.owner, live.sum(axis=1)) * len(texts.words.word) + texts.windows[live])
-    owner, word = np.divmod(pairs, len(texts.words.word))
-    params["word"][:, 0] = log_odds(texts.words.word[word], owner, label)
-    order = np.argsort(texts.words.owners, kind="stable")
-    grams, size = texts.words.grams[order], np.bincount(texts.words.owners, minlength=len(texts.words.word))
-    first = np.cumsum(size) - size
-    count = size[word]
-    places = np.repeat(first[word] - np.cumsum(count) + count, count) + np.arange(count.sum())
-    params["gram"][:, 0] = log_odds(grams[places], np.repeat(owner, count), label)
+    by_word, by_gram = np.zeros((2, BUCKETS)), np.zeros((2, BUCKETS))
+    ends = np.searchsorted(texts.owner, np.arange(len(label) + 1))
+    for doc, (begin, end) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+        own = vocabulary.take(np.unique(texts.windows[begin:end]))
+        by_word[int(label[doc]), np.unique(own.word)] += 1
+        by_gram[int(label[doc]), np.unique(own.grams)] += 1
+    share = float(label.mean())
+    params["word"][:, 0], params["gram"][:, 0] = log_odds(by_word, share), log_odds(by_gram, share)
     return params["word"][texts.words.word, 0] + texts.words.mean_of_grams(params["gram"][:, :1])[:, 0]
 
 
@@ -114,10 +107,9 @@ def worst_windows(texts: Texts, values: np.ndarray, label: np.ndarray, rng: np.r
     return np.concatenate([order[last], other[label[texts.owner[other]] == 0]])
 
 
-def learn(params: dict, texts: Texts, label: np.ndarray, chosen: np.ndarray, passes: int, adam: Adam, rng: np.random.Generator) -> None:
+def learn(params: dict, texts: Texts, vocabulary: WordSubset, label: np.ndarray, chosen: np.ndarray, passes: int, adam: Adam, rng: np.random.Generator) -> None:
     goal = label[texts.owner[chosen]].astype(np.float32)
     weight = np.where(goal > 0, 0.5 / max(1, goal.sum()), 0.5 / max(1, (1 - goal).sum())) * len(goal)
-    vocabulary = WordSubset(texts.words)
     for _ in range(passes):
         order = rng.permutation(len(chosen))
         for begin in range(0, len(order), BATCH):
@@ -165,25 +157,30 @@ def fit(texts: list[str], label: np.ndarray, seed: int = 11) -> ToxicityModel:
     rng, params, found = np.random.default_rng(seed), new_params(seed), Texts(texts)
     if not len(found.windows):
         return ToxicityModel(None, 1.0, 0.0, share)
-    first = start_embeddings(params, found, label)
+    vocabulary = WordSubset(found.words)
+    first = start_embeddings(params, found, vocabulary, label)
     adam = Adam(params, RATE)
     values = first[found.windows].max(axis=1, where=found.mask > 0, initial=-50)
     for passes in PASSES:
-        learn(params, found, label, worst_windows(found, values, label, rng), passes, adam, rng)
+        learn(params, found, vocabulary, label, worst_windows(found, values, label, rng), passes, adam, rng)
         values = found.odds(params)
+    HASHES.clear()
     best = found.largest(values, len(texts))
     full = np.isfinite(best)
     return ToxicityModel(params, *logistic(np.clip(best[full], -20, 20), label[full]), share)
 
 
-def train(documents: DataFrame, labels: DataFrame, most: int = TRAIN_PER_CLASS) -> ToxicityModel:
-    """Fit on the sample: at most 2 x `most` texts of TRAIN_CHARS characters reach the driver."""
+def train(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = (TRAIN_OTHER, TRAIN_TOXIC)) -> ToxicityModel:
+    """Fit on the sample: at most `most` texts of class 0 and 1, of TRAIN_CHARS characters each, reach the driver."""
     known = labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic")).where(learnable("__id") & F.col("toxic").isin(0, 1))
     texts = documents.select("doc_id", "text").where(learnable() & (F.length("text") <= TRAIN_CHARS))
     # Chosen before texts are joined: twice as many ids as needed, since some belong to longer texts or to none.
-    ids = F.broadcast(sample_of_each(known.distinct(), "toxic", 2 * most, "__id"))
-    rows = texts.join(ids, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
-    found = sorted((r.doc_id, r.toxic, r.text) for r in sample_of_each(rows, "toxic", most).toLocalIterator())
+    found = []
+    for toxic, count in enumerate(most):
+        ids = F.broadcast(sample_of_each(known.where(F.col("toxic") == toxic).distinct(), "toxic", 2 * count, "__id"))
+        rows = texts.join(ids, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
+        found += [(r.doc_id, r.toxic, r.text) for r in sample_of_each(rows, "toxic", count).toLocalIterator()]
+    found.sort()
     return fit([text for _, _, text in found], np.array([toxic for _, toxic, _ in found], float))
 
 
