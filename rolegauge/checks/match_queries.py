@@ -9,7 +9,7 @@ from rolegauge.checks.plans import planned
 from rolegauge.checks.sentences import AS_OF_YEAR
 from rolegauge.functions import terms
 from rolegauge.operators.advice import most_missing
-from rolegauge.operators.catalog_match import catalog_scores, slices, with_role_details
+from rolegauge.operators.catalog_match import catalog_scores, prepare, with_role_details
 from rolegauge.operators.target import coverage, explanation
 from rolegauge.plans import documents as D
 from rolegauge.plans.matching import match_documents
@@ -23,7 +23,7 @@ def bar(array):
 
 @planned
 def vectors(spark, folder):
-    return D.termed(D.colocated(X.corpus(spark, folder)))
+    return D.termed(X.corpus(spark, folder))
 
 
 @planned
@@ -83,7 +83,7 @@ def target_match(spark, folder):
 
 
 def catalog_match(spark, folder):
-    pairs = catalog_scores(vectors(spark, folder), X.catalog(spark, folder))
+    pairs = catalog_scores(vectors(spark, folder), prepare(X.catalog(spark, folder)))
     return pairs.select(
         "doc_id", "job_id", "match_score", F.col("n_matched").cast("int").alias("n_matched"),
         F.round("similarity", 6).alias("similarity"),
@@ -91,9 +91,8 @@ def catalog_match(spark, folder):
 
 
 def catalog_keywords_split(spark, folder):
-    catalog = X.catalog(spark, folder)
-    pairs = catalog_scores(vectors(spark, folder), catalog)
-    named = with_role_details(pairs, catalog, size_checked=len(slices(catalog)) == 1)
+    ready = prepare(X.catalog(spark, folder))
+    named = with_role_details(catalog_scores(vectors(spark, folder), ready), ready)
     return named.select("doc_id", "job_id", bar(F.col("matched")).alias("matched"), bar(F.col("missing")).alias("missing"))
 
 

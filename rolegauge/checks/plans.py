@@ -8,8 +8,18 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 
+KEPT: list[dict] = []
+
+
+def forget() -> None:
+    """Build every plan anew from now on: for measurements, and when the files have changed."""
+    for known in KEPT:
+        known.clear()
+
+
 def planned(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     known: dict[str, tuple[SparkSession, DataFrame]] = {}
+    KEPT.append(known)
 
     @wraps(build)
     def plan(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,7 +19,7 @@ COLUMNS = {"education": "education_score", "skills": "skills_score"}
 
 @planned
 def scored(spark, folder):
-    return D.score_documents(D.colocated(X.corpus(spark, folder)), AS_OF_YEAR)
+    return D.score_documents(X.corpus(spark, folder), AS_OF_YEAR)
 
 
 @planned

@@ -3,8 +3,8 @@ document gets one of these appended; both engines pick it by the same rule."""
 
 SNIPPETS = [
     "Summary: result-oriented analyst with 6 years of experience.\n- Built python dashboards with SQL\n- Improved reporting by 20%\n- Led stakeholder analytics\n- Managed a database roadmap\nalex@example.com linkedin.com/in/alex\nBachelor degree, University 2015, gpa 3.8. Jan 2019, Feb 2020",
-    "Objective: junior role.\n* Helped with reports for the business team\n* Assisted on testing work, teh managment was new\nPhone +1 (555) 010-2030\nHigh school, then college 2018 - 2020",
-    "Work Experience: Junior Developer, 2016 - 2019. Software Engineer, 2019 - 2023.\n- Developed react and node services\n- Designed rest apis with flask\nportfolio on github.com, must have version control; experience with javascript and css",
+    "Objective: junior role.\n* Helped with rosters of the night shift\n* Assisted on testing work, teh managment was new\nPhone +1 (555) 010-2030\nHigh school, then college 2018 - 2020",
+    "Work history: field technician, 2011 - 2014. Tower engineer, 2014 - 2023.\n- Developed react and node services\n- Designed rest apis with flask\nportfolio on github.com, must have version control; experience with javascript and css",
     "Education: Master of Science, 2010 to 2014, university diploma.\nExcel, pivot table, power bi, communication, git",
     "High school graduate, no other school. Responsible for shelves and the till, every single day",
     "Manager at a company from March 2012 until present\n• Reduced cost by 15%\n• Launched two products\n• Delivered training\nContact: kim.lee@example.org, portfolio available. Dec 2012, apr 2020",

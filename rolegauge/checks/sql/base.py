@@ -147,7 +147,7 @@ LONG = f"list_filter({tokens(ascii_letters(norm('text')))}, lambda t: length(t)
 PARTS["k_catalog"] = f"""
 SELECT * FROM (VALUES {DEFAULTS}) AS v(job_id, title, keywords, description)
 UNION ALL
-SELECT item_id + 5, 'Role ' || item_id, array_to_string(({ordered_distinct(LONG)})[1:8], ', '), text FROM benchmark
+SELECT item_id + 5, 'Role ' || item_id, array_to_string({ordered_distinct(LONG)}, ', '), text FROM benchmark
 """
 
 PARTS["k_roles"] = f"""

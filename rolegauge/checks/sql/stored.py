@@ -21,11 +21,11 @@ FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 13 <> 5
 PARTS["k_reports"] = f"""
 SELECT n AS id, CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id, 'cv_' || n || '.' || {EXT} AS filename, ts AS uploaded_at,
   CASE WHEN n % 50 <> 0 THEN CAST(least(100, floor(value)) AS INTEGER) END AS score,
-  {choose(6, '''[{'title': 'Data Analyst', 'match_score': n % 100}, {'title': 'Role ' || n, 'match_score': 7}]''',
-          '''[{'title': 'Legacy ' || n, 'match_score': 5}, {'title': '', 'match_score': NULL}]''', '[]',
-          '''[{'title': 'Data Analyst', 'match_score': NULL}, {'title': 'Role ' || n, 'match_score': NULL}]''', '[]', '[]')} AS jobs,
-  {choose(6, "'Data Analyst, Role ' || n", "'Legacy ' || n", "'None'", "'Data Analyst, Role ' || n", "'None'", "'Plain ' || n")} AS summary,
-  {choose(4, "[{'name': 'Skills', 'value': n % 11}, {'name': 'Education', 'value': 4}]", "[{'name': 'Education', 'value': n % 7}]", '[]', '[]')} AS criteria,
+  {choose(6, '''[{'title': 'Data Analyst', 'match_score': CAST(n % 100 AS VARCHAR)}, {'title': 'Role ' || n, 'match_score': '7'}]''',
+          '''[{'title': 'True None ' || n, 'match_score': '7.5'}, {'title': '', 'match_score': NULL}]''', '[]',
+          '''[{'title': 'Data Analyst', 'match_score': NULL}, {'title': 'Role ' || n, 'match_score': NULL}]''', '[]', "[{'title': 'Mixed', 'match_score': '3'}]")} AS jobs,
+  {choose(6, "'Data Analyst, Role ' || n", "'True None ' || n", "'None'", "'Data Analyst, Role ' || n", "'None'", "'Plain ' || n || ', Mixed'")} AS summary,
+  {choose(4, "[{'name': 'Skills', 'value': (n % 11) || '.5'}, {'name': 'Education', 'value': '4'}]", "[{'name': 'Education', 'value': CAST(n % 7 AS VARCHAR)}]", '[]', '[]')} AS criteria,
   {choose(5, "['Add detail ' || n, 'Use numbers']", '[]', '[]', '[]', "['Legacy advice']")} AS suggestions,
   n % 3 = 0 AS analyzed
 FROM (SELECT *, event_id AS n FROM events)
@@ -47,7 +47,7 @@ PARTS["k_contacts"] = """
 SELECT conv_id * 1000 + turn AS id, conv_id % 200 AS user_id, CASE WHEN conv_id % 23 = 3 THEN '  ' ELSE 'Sender ' || conv_id END AS name,
   CASE WHEN conv_id % 7 = 0 THEN 'not-an-email-' || conv_id ELSE ' sender' || conv_id || '@example.org ' END AS email,
   'Topic ' || turn AS subject, text AS message, 1704067200 + conv_id * 3600 + turn * 60 AS created_s
-FROM conversations WHERE role = 'user'
+FROM conversations
 """
 PARTS["k_lines_out"] = """
 SELECT id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS line_no FROM (
@@ -60,7 +60,7 @@ SELECT id, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS line_no F
     CASE WHEN len(suggestions) > 0 THEN list_transform(suggestions, lambda s: '- ' || s) ELSE ['- No suggestions saved.'] END,
     CASE WHEN analyzed THEN ['', 'Suggested Bullet Rewrites', '- Before: Helped', '  After: Delivered ' || id,
                              '', 'Analysis Steps', '- Parsed: ' || id || ' words'] ELSE [] END,
-    ['', 'Matches'], list_transform(jobs, lambda j: '- ' || j.title || ': ' || coalesce(j.match_score, 0) || '%')) AS lines
+    ['', 'Matches'], list_transform(jobs, lambda j: '- ' || j.title || ': ' || coalesce(j.match_score, '0') || '%')) AS lines
   FROM k_reports)
 """
 

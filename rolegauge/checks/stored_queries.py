@@ -38,7 +38,7 @@ def contacts_recent(spark, folder):
 
 
 def reports_accessible(spark, folder):
-    return H.accessible(X.reports(spark, folder), access(spark, folder)).select("id", "user_id", "filename", "score")
+    return H.accessible(X.reports(spark, folder), access(spark, folder)).select("viewer_id", "id", "user_id", "filename", "score")
 
 
 def access_pairs(spark, folder):
@@ -206,7 +206,7 @@ ENTRIES = {
     ),
     "reports_accessible": (
         reports_accessible,
-        "SELECT id, user_id, filename, score FROM k_reports WHERE user_id IN (SELECT owner_id FROM k_access)",
+        "SELECT a.viewer_id, r.id, r.user_id, r.filename, r.score FROM k_reports r JOIN k_access a ON r.user_id = a.owner_id",
     ),
     "access_pairs": (access_pairs, "SELECT viewer_id, owner_id FROM k_access"),
     "report_by_id": (
@@ -250,7 +250,7 @@ ENTRIES = {
     ),
     "report_lines": (
         report_lines,
-        "SELECT id, line_no::INTEGER AS line_no, left(line, 95) AS line FROM k_lines_out WHERE line_no < 42",
+        "SELECT id, line_no::INTEGER AS line_no, line FROM k_lines_out",
     ),
     "schema_conform": (
         schema_conform,
@@ -261,7 +261,9 @@ ENTRIES = {
     ),
     "users_insert_new": (
         users_insert_new,
-        """SELECT min(n) AS n, username FROM k_new_names WHERE username NOT IN (SELECT username FROM k_users) GROUP BY username""",
+        f"""SELECT min(n) AS n, {S.STRIPPED_NAME} AS username FROM k_new_names
+        WHERE {S.STRIPPED_NAME} NOT IN (SELECT username FROM k_users) AND length({S.STRIPPED_NAME}) >= 3
+          AND regexp_full_match({S.STRIPPED_NAME}, '[A-Za-z0-9_.\\-]+') GROUP BY 2""",
     ),
     "validate_usernames": (
         validate_usernames,
@@ -286,9 +288,9 @@ ENTRIES = {
         catalog_append,
         f"""SELECT job_id, title, keywords, description FROM k_catalog UNION ALL
         SELECT (SELECT max(job_id) FROM k_catalog) + row_number() OVER (ORDER BY item_id),
-          CASE WHEN item_id % 9 = 2 THEN '' ELSE 'New role ' || item_id END,
-          CASE WHEN item_id % 7 = 3 THEN '' ELSE {B.strip("repeat('skill ' || item_id || ', ', item_id * 3)")} END, {B.strip('text')}
-        FROM benchmark""",
+          'New role ' || item_id, {B.strip("repeat('skill ' || item_id || ', ', item_id * 3)")}, {B.strip('text')}
+        FROM benchmark WHERE item_id % 9 <> 2 AND item_id % 7 <> 3 AND item_id <> 0
+          AND length({B.strip("repeat('skill ' || item_id || ', ', item_id * 3)")}) <= 800 AND length({B.strip('text')}) <= 800""",
     ),
     "ingest_accept": (
         ingest_accept,

@@ -116,22 +116,17 @@ def shared_terms(left: Column, right: Column) -> Column:
 
 
 def dot_product(left: Column, right: Column) -> Column:
-    sides = F.struct(
-        left.getField("term").alias("lt"), left.getField("weight").alias("lw"),
-        right.getField("term").alias("rt"), right.getField("weight").alias("rw"),
-    )
+    """Both vectors in one sorted array: the two entries of a shared term become neighbours."""
 
-    def weight(term: Column, terms: Column, weights: Column) -> Column:
-        return F.get(weights, (F.array_position(terms, term) - 1).cast("int"))
+    def neighbours(both: Column) -> Column:
+        rest = F.size(both) - 1
+        pairs = F.zip_with(
+            F.slice(both, F.lit(1), F.greatest(rest, F.lit(0))), F.slice(both, F.lit(2), F.greatest(rest, F.lit(0))),
+            lambda a, b: F.when(a["term"] == b["term"], a["weight"] * b["weight"]).otherwise(F.lit(0).cast("bigint")),
+        )
+        return F.aggregate(pairs, F.lit(0).cast("bigint"), lambda total, product: total + product)
 
-    return let(
-        sides,
-        lambda v: F.aggregate(
-            F.array_intersect(v["rt"], v["lt"]),
-            F.lit(0).cast("bigint"),
-            lambda acc, t: acc + weight(t, v["lt"], v["lw"]) * weight(t, v["rt"], v["rw"]),
-        ),
-    )
+    return let(F.sort_array(F.concat(left, right)), neighbours)
 
 
 def cosine_of(dot: Column, left_squared: Column, right_squared: Column) -> Column:

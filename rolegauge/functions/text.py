@@ -13,6 +13,10 @@ from rolegauge.lexicon import DEFAULT, REPLACED_PHRASES, Lexicon
 
 # Every character Python and Unicode call white space.
 SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+# The same characters one by one, for trimming without a pattern.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 # Characters that may belong to a technical term, so "sql" is not found in "nosql" or "sql-like".
 TERM_CHAR = r"[a-z0-9+#.-]"
@@ -20,7 +24,8 @@ TERM_CHAR = r"[a-z0-9+#.-]"
 WORD_CHAR = r"[\p{L}\p{N}_]"
 
 # Fixed patterns.
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+# An address starts where no address sign stands before, and its name part gives nothing back: linear on any text.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"\+?\p{Nd}[\p{Nd}" + SPACE[1:-1] + r"().-]{6,}\p{Nd}"
 # The first, cheap look-ahead spares most positions the costlier word border.
 YEAR = rf"(?=[12])(?<!{WORD_CHAR})(?:19|20)\p{{Nd}}{{2}}(?!{WORD_CHAR})"
@@ -40,7 +45,7 @@ def normalize(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def compact(text: Column, limit: int = 150) -> Column:
@@ -98,12 +103,6 @@ def term_hits(text: Column, values: Iterable[str]) -> Column:
     return F.array_distinct(F.concat(*found)) if found else words([])
 
 
-def has_term(text: Column, value: Column) -> Column:
-    """Whether one term, given as a column, stands free in normalized ``text``."""
-    quoted = F.concat(F.lit(r"\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    return F.rlike(text, F.concat(F.lit(f"(?<!{TERM_CHAR})"), quoted, F.lit(f"(?!{TERM_CHAR})")))
-
-
 def listed_terms(text: Column, values: Column) -> Column:
     """Which of a few terms, given as an array column, stand free in ``text``. No term may begin another one followed
     by a space."""
@@ -152,7 +151,7 @@ def bullet_lines(raw: Column, shortest: int = 18) -> Column:
     """Lines without surrounding space and leading bullet signs, at least ``shortest`` characters long."""
     cleaned = F.transform(
         F.split(raw, LINE_BREAK),
-        lambda line: F.regexp_replace(line, rf"^{SPACE}*[-* \u2022]*{SPACE}*|{SPACE}+\z", ""),
+        lambda line: F.regexp_replace(F.rtrim(line, F.lit(SPACES)), rf"^{SPACE}*+(?:[-* \u2022]++{SPACE}*+)?", ""),
     )
     return F.filter(cleaned, lambda line: F.length(line) >= shortest)
 

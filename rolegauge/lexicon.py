@@ -162,7 +162,6 @@ MAX_FILE_BYTES = 10 * 1024 * 1024
 MAX_TITLE_CHARS = 160
 MAX_FIELD_CHARS = 5000
 MAX_CATALOG_CHARS = 800
-RATE_LIMITS = {"login": (10, 300), "register": (5, 300), "contact": (5, 300), "scan": (12, 300), "admin": (10, 300)}
 
 # ---------------------------------------------------------------------------------------------------------
 # End of the fixed values.

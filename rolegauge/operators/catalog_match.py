@@ -2,15 +2,18 @@
 
 The catalog becomes one table of postings: (kind, term) -> role, where a term is either an entry of the role's term
 vector or one of its keywords. Every document is exploded into its own terms and keyword hits, joined with the
-broadcast postings and summed per (document, role): no cross join, no pair that shares nothing.
+postings and summed per (document, role): no cross join, no pair that shares nothing.
 
-The postings are broadcast only in slices of a checked size; a larger catalog is worked through slice by slice and
-the results are ranked together.
+`prepare` writes the postings once, for any number of batches. One plan serves any catalog: the joins carry no hint, Spark
+broadcasts the written table while its size in bytes allows and shuffles both sides beyond that. Keywords are found by one
+pattern per text while they have at most PATTERN_CHARS characters together, and by a join on their first characters beyond;
+both find the same.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,9 +23,10 @@ from rolegauge.functions.terms import cosine_of, skills, squared_norm, term_vect
 from rolegauge.functions.text import normalize, prefix_tree
 from rolegauge.lexicon import DEFAULT, Lexicon
 from rolegauge.sources.catalog import with_keywords
+from rolegauge.storage import materialize
 
-SLICE_ROLES = 2_000
-SLICE_CHARS = 4_000_000
+PATTERN_CHARS = 2_000_000
+GRAM = 4
 MASK_BITS = 62
 
 # Fixed limits and weights of the match.
@@ -80,52 +84,69 @@ def postings(roles: DataFrame, n_masks: int) -> DataFrame:
     return by_term.unionByName(by_keyword)
 
 
-def slices(catalog: DataFrame) -> list[tuple[DataFrame, int]]:
-    """The catalog in parts small enough to broadcast, with the number of masks the longest keyword list needs."""
-    keywords = F.col("keywords")
-    facts = with_keywords(catalog).agg(
-        F.count("*").alias("roles"),
-        F.coalesce(F.sum(F.length("title") + F.length("description") + F.length(F.array_join(keywords, ","))), F.lit(0)).alias("chars"),
-        F.coalesce(F.max(F.size(keywords)), F.lit(0)).alias("longest"),
-    ).first()
-    masks = max(1, math.ceil(facts["longest"] / MASK_BITS))
-    parts = max(1, math.ceil(facts["roles"] / SLICE_ROLES), math.ceil(facts["chars"] / SLICE_CHARS))
-    if parts == 1:
-        return [(catalog, masks)]
-    part = F.pmod(F.xxhash64("job_id"), F.lit(parts))
-    return [(catalog.filter(part == p), masks) for p in range(parts)]
-
-
-def score_slice(docs: DataFrame, catalog: DataFrame, n_masks: int, lex: Lexicon = DEFAULT) -> DataFrame:
-    """Scores of all kept (document, role) pairs of one slice."""
-    roles = role_vectors(catalog, lex)
-    known = [r[0] for r in with_keywords(catalog).select(F.explode("keywords")).distinct().collect()]
-    hits = (
-        F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?=({prefix_tree(known)}))"), F.lit(1)))
-        if known
-        else F.array().cast("array<string>")
-    )
+@dataclass(frozen=True)
+class Prepared:
+    """A catalog ready to be matched: written roles and postings, and the pattern of all keywords if it is short enough."""
+
+    roles: DataFrame
+    postings: DataFrame
+    n_masks: int
+    pattern: str | None
+    lex: Lexicon
+
+
+def prepare(catalog: DataFrame, lex: Lexicon = DEFAULT) -> Prepared:
+    roles = materialize(role_vectors(catalog, lex), "roles")
+    longest = roles.agg(F.coalesce(F.max(F.size("keywords")), F.lit(0))).first()[0]
+    masks = max(1, math.ceil(longest / MASK_BITS))
+    known = roles.select(F.explode("keywords").alias("keyword")).distinct()
+    chars = known.agg(F.coalesce(F.sum(F.length("keyword")), F.lit(0))).first()[0]
+    pattern = prefix_tree(row[0] for row in known.toLocalIterator()) if 0 < chars <= PATTERN_CHARS else None
+    return Prepared(roles, materialize(postings(roles, masks), "postings"), masks, pattern, lex)
+
+
+def by_pattern(docs: DataFrame, pattern: str) -> DataFrame:
+    """The longest keyword at every place of the text; the postings add those that begin it."""
+    return docs.withColumn("hits", F.array_distinct(F.regexp_extract_all("text", F.lit(f"(?=({pattern}))"), F.lit(1))))
+
+
+def by_first_signs(docs: DataFrame, roles: DataFrame) -> DataFrame:
+    """All keywords in the text: those whose first GRAM signs the text has are candidates, then the text decides."""
+    known = roles.select(F.explode("keywords").alias("keyword")).distinct()
+    known = known.withColumn("gram", F.substring("keyword", 1, GRAM))
+    places = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)))
+    grams = [F.transform(places, lambda at, n=n: F.substring("text", at, F.lit(n))) for n in range(1, GRAM + 1)]
+    found = docs.select("doc_id", F.explode(F.array_distinct(F.concat(*grams))).alias("gram")).join(known, "gram")
+    checked = found.select("doc_id", "keyword").distinct().join(docs.select("doc_id", "text"), "doc_id")
+    hits = checked.filter(F.contains("text", "keyword")).groupBy("doc_id").agg(F.collect_set("keyword").alias("hits"))
+    return docs.join(hits, "doc_id", "left").withColumn("hits", F.coalesce("hits", F.array().cast("array<string>")))
+
+
+def catalog_scores(docs: DataFrame, ready: Prepared) -> DataFrame:
+    """Scores of all kept (document, role) pairs; ``docs`` needs ``doc_id, text, vector, doc_squared``."""
+    narrow = docs.select("doc_id", "text", "vector", "doc_squared")
+    with_hits = by_pattern(narrow, ready.pattern) if ready.pattern else by_first_signs(narrow, ready.roles)
 
     def entry(kind: int, term: Column, weight: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), term.alias("term"), weight.alias("weight"))
 
     entries = F.concat(
         F.transform("vector", lambda t: entry(0, t["term"], t["weight"])),
-        F.transform(hits, lambda h: entry(1, h, F.lit(0).cast("bigint"))),
+        F.transform("hits", lambda h: entry(1, h, F.lit(0).cast("bigint"))),
     )
-    masks = [f"mask{m}" for m in range(n_masks)]
+    masks = [f"mask{m}" for m in range(ready.n_masks)]
     pairs = (
-        docs.select("doc_id", "doc_squared", F.explode(entries).alias("e"))
+        with_hits.select("doc_id", "doc_squared", F.explode(entries).alias("e"))
         .select("doc_id", "doc_squared", "e.kind", "e.term", "e.weight")
-        .join(F.broadcast(postings(roles, n_masks)), ["kind", "term"])
+        .join(ready.postings, ["kind", "term"])
         .groupBy("doc_id", "doc_squared", "job_id")
         .agg(F.sum(F.col("weight") * F.col("job_weight")).alias("dot"), *[F.bit_or(m).alias(m) for m in masks])
     )
-    sizes = roles.select("job_id", "job_squared", F.size("keywords").alias("n_keywords"))
+    sizes = ready.roles.select("job_id", "job_squared", F.size("keywords").alias("n_keywords"))
     n_matched = sum((F.bit_count(m) for m in masks), F.lit(0))
     ratio = F.col("n_matched") / F.greatest("n_keywords", F.lit(1))
     return (
-        pairs.join(F.broadcast(sizes), "job_id")
+        pairs.join(sizes, "job_id")
         .withColumn("n_matched", n_matched)
         .withColumn("similarity", cosine_of(F.col("dot"), F.col("doc_squared"), F.col("job_squared")))
         .withColumn("combined", ratio * KEYWORD_SHARE + F.col("similarity") * TERM_SHARE)
@@ -137,10 +158,9 @@ def score_slice(docs: DataFrame, catalog: DataFrame, n_masks: int, lex: Lexicon
     )
 
 
-def with_role_details(pairs: DataFrame, catalog: DataFrame, size_checked: bool) -> DataFrame:
+def with_role_details(pairs: DataFrame, ready: Prepared) -> DataFrame:
     """Add the role's texts and its keywords split into matched and missing ones."""
-    details = with_keywords(catalog)
-    details = F.broadcast(details) if size_checked else details
+    details = ready.roles.select("job_id", "title", "description", "keywords")
 
     def found(place: Column) -> Column:
         mask = F.get("masks", F.floor(place / MASK_BITS).cast("int"))
@@ -153,29 +173,10 @@ def with_role_details(pairs: DataFrame, catalog: DataFrame, size_checked: bool)
     )
 
 
-def catalog_scores(docs: DataFrame, catalog: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
-    """All kept pairs; ``docs`` needs ``doc_id, text, vector, doc_squared`` and should be partitioned by ``doc_id``."""
-    parts = [score_slice(docs, part, masks, lex) for part, masks in slices(catalog)]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def best_roles(docs: DataFrame, catalog: DataFrame, lex: Lexicon = DEFAULT, top: int = TOP_MATCHES) -> DataFrame:
+def best_roles(docs: DataFrame, ready: Prepared, top: int = TOP_MATCHES) -> DataFrame:
     """The best roles of every document with a ``place`` from 1; equal scores keep catalog order."""
-    parts = slices(catalog)
     order = Window.partitionBy("doc_id").orderBy(F.desc("match_score"), "job_id")
-
-    def leading(pairs: DataFrame) -> DataFrame:
-        narrow = pairs.select("doc_id", "job_id", "match_score", "masks")
-        return narrow.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top)
-
-    ranked = [leading(score_slice(docs, part, masks, lex)) for part, masks in parts]
-    result = ranked[0]
-    if len(ranked) > 1:
-        for part in ranked[1:]:
-            result = result.unionByName(part)
-        result = leading(result)
-    named = with_role_details(result.drop("place"), catalog, size_checked=len(parts) == 1)
+    narrow = catalog_scores(docs, ready).select("doc_id", "job_id", "match_score", "masks")
+    ranked = narrow.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top)
+    named = with_role_details(ranked.drop("place"), ready)
     return named.withColumn("place", F.row_number().over(order))

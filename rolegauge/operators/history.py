@@ -1,14 +1,20 @@
 """Questions over stored reports: access, newest reports, previous scores, dashboards.
 
 A user, or the group of anonymous reports, may own a large part of the table. Ranks are therefore limited before
-the shuffle, and the previous score is found per user and day first.
+the shuffle, and the previous score is found per user and part first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rolegauge.functions.text import strip
+from rolegauge.operators.numbering import number_rows
+from rolegauge.operators.validation import username_reason
+from rolegauge.session import shuffle_partitions
+from rolegauge.storage import materialize
+
 ADMIN = "admin"
 NEWEST, TREND = 20, 8
 
@@ -31,9 +37,9 @@ def access_pairs(users: DataFrame) -> DataFrame:
 
 
 def accessible(reports: DataFrame, access: DataFrame, viewer: int | None = None) -> DataFrame:
-    """Reports somebody (or one viewer) may see."""
+    """Reports with each ``viewer_id`` that may see them, or those of one viewer."""
     allowed = access if viewer is None else access.filter(F.col("viewer_id") == viewer)
-    return reports.join(allowed, reports["user_id"] == allowed["owner_id"], "left_semi")
+    return reports.join(allowed, reports["user_id"] == allowed["owner_id"]).drop("owner_id")
 
 
 def looked_up(requests: DataFrame, reports: DataFrame, access: DataFrame) -> DataFrame:
@@ -97,17 +103,17 @@ def latest_score(reports: DataFrame) -> DataFrame:
     )
 
 
-def score_progress(reports: DataFrame, period: str = "day") -> DataFrame:
+def score_progress(reports: DataFrame) -> DataFrame:
     """Each report with the score of the report before it by the same user, and whether it is at least as good.
 
-    The order is followed inside (user, period). The first report of a period takes the last score of the user's
-    period before it, which is read from a table with one row per user and period. So even a user with a third of
-    all reports is spread over many tasks.
+    The narrow rows are range-partitioned by (user, time), which cuts a user with many reports into parts of equal size, however
+    they lie in time. The order is followed inside (user, part); the first report of a part takes the last score of the user's part
+    before it, from a table with one row per user and part. The parts are written to the shared folder, so they stay the same.
     """
     owner = F.coalesce(F.col("user_id").cast("string"), F.lit(""))
-    placed = reports.select(
-        "id", "user_id", "uploaded_at", "score", owner.alias("owner"), F.date_trunc(period, "uploaded_at").alias("period")
-    )
+    narrow = reports.select("id", "user_id", "uploaded_at", "score", owner.alias("owner"))
+    parted = narrow.repartitionByRange(shuffle_partitions(reports.sparkSession), "owner", "uploaded_at", "id")
+    placed = materialize(parted.withColumn("period", F.spark_partition_id()), "score-parts")
     inside = Window.partitionBy("owner", "period").orderBy("uploaded_at", "id")
     last = (
         placed.groupBy("owner", "period")
@@ -144,6 +150,15 @@ def counts(reports: DataFrame, users: DataFrame, catalog: DataFrame) -> DataFram
 
 
 def new_users(candidates: DataFrame, users: DataFrame, order: str) -> DataFrame:
-    """Candidates whose username is not taken, the first of each username by ``order``."""
-    firsts = candidates.groupBy("username").agg(F.min_by(F.struct(*candidates.columns), order).alias("row")).select("row.*")
+    """Candidates with a valid, stripped username that is not taken, the first of each username by ``order``."""
+    valid = candidates.withColumn("username", strip("username")).filter(username_reason(F.col("username"), F.lit(False)).isNull())
+    firsts = valid.groupBy("username").agg(F.min_by(F.struct(*candidates.columns), order).alias("row")).select("row.*")
     return firsts.join(users.select("username"), "username", "left_anti").select(*candidates.columns)
+
+
+def insert_users(candidates: DataFrame, users: DataFrame, order: str, created_at: Column) -> DataFrame:
+    """The users followed by the new ones, with ids after the last one in the order of ``order``."""
+    next_id = users.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).scalar()
+    placed = number_rows(new_users(candidates, users, order).select(order, "username"), "offset", order=order)
+    added = placed.select((next_id + F.col("offset")).alias("id"), "username", created_at.cast("timestamp").alias("created_at"))
+    return users.select("id", "username", "created_at").unionByName(added)

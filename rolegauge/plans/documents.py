@@ -14,17 +14,6 @@ from rolegauge.functions.text import normalize, strip, word_count, word_hits
 from rolegauge.lexicon import DEFAULT, EDUCATION_WORDS, Lexicon
 from rolegauge.operators import criteria as C
 from rolegauge.operators.target import target_match, target_text
-from rolegauge.session import shuffle_partitions
-
-
-def colocated(docs: DataFrame) -> DataFrame:
-    """One shuffle of the narrow input rows by document. Everything a scan does later is then local to a partition,
-    and a single large input split no longer keeps the work in one task.
-
-    The number is the session's own, given explicitly: scoring costs far more time than its input has bytes, so
-    merging small partitions afterwards would only idle cores.
-    """
-    return docs.repartition(shuffle_partitions(docs.sparkSession), "doc_id")
 
 
 def with_text(docs: DataFrame) -> DataFrame:

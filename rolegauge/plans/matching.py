@@ -6,17 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolegauge.lexicon import DEFAULT, Lexicon
-from rolegauge.operators.catalog_match import TOP_MATCHES, best_roles
+from rolegauge.operators.catalog_match import TOP_MATCHES, Prepared, best_roles, prepare
 from rolegauge.operators.target import MATCH_TYPE
-from rolegauge.plans.documents import colocated, termed, with_similarity, with_target_match
+from rolegauge.plans.documents import termed, with_similarity, with_target_match
+from rolegauge.storage import materialize
 
 
-def catalog_matches(docs: DataFrame, catalog: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
+def catalog_matches(docs: DataFrame, ready: Prepared) -> DataFrame:
     """``doc_id, roles``: up to five catalog roles per document in rank order, without a row where none fits.
 
     ``docs`` comes from ``termed``.
     """
-    best = best_roles(docs, catalog, lex)
+    best = best_roles(docs, ready)
     role = F.struct(
         F.col("place").alias("rank"), F.lit("catalog").alias("source"), "job_id", "title", "description", "match_score",
         "matched", "missing",
@@ -31,8 +32,12 @@ def merged(docs: DataFrame) -> DataFrame:
     return docs.withColumn("matches", F.transform(F.slice(both, 1, TOP_MATCHES), lambda m, i: m.withField("rank", i + 1)))
 
 
-def match_documents(docs: DataFrame, catalog: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
-    """``doc_id, matches`` for every document; the list is empty where nothing fits."""
-    local = termed(colocated(docs), lex)
-    targets = with_target_match(with_similarity(local, lex)).select("doc_id", "target_match")
-    return merged(targets.join(catalog_matches(local, catalog, lex), "doc_id", "left")).select("doc_id", "matches")
+def match_documents(docs: DataFrame, catalog: DataFrame | Prepared, lex: Lexicon = DEFAULT) -> DataFrame:
+    """``doc_id, matches`` for every document; the list is empty where nothing fits.
+
+    The documents are read, normalized and tokenized once; what both branches need is written to the shared folder.
+    """
+    ready = catalog if isinstance(catalog, Prepared) else prepare(catalog, lex)
+    compared = with_target_match(with_similarity(termed(docs, lex), lex))
+    local = materialize(compared.select("doc_id", "text", "vector", "doc_squared", "target_match"), "documents")
+    return merged(local.select("doc_id", "target_match").join(catalog_matches(local, ready), "doc_id", "left")).select("doc_id", "matches")

@@ -8,22 +8,33 @@ from pyspark.sql import functions as F
 from rolegauge.functions.text import bullet_rewrites
 from rolegauge.lexicon import DEFAULT, Lexicon
 from rolegauge.operators.advice import analysis_steps, suggestions
-from rolegauge.plans.documents import colocated, score_termed, termed
+from rolegauge.operators.catalog_match import Prepared, prepare
+from rolegauge.plans.documents import score_termed, termed
 from rolegauge.plans.matching import catalog_matches, merged
 from rolegauge.sources.reports import labelled
+from rolegauge.storage import materialize
 
+KEPT = (
+    "doc_id", "user_id", "filename", "uploaded_at", "title", "description", "text", "vector", "doc_squared", "target_match", "profile",
+    "criteria", "reasons", "weights", "score", "bullet_rewrites",
+)
 
-def analyzed(docs: DataFrame, catalog: DataFrame, as_of_year: int, lex: Lexicon = DEFAULT) -> DataFrame:
-    """Scores, matches, suggestions, steps and rewrites of every document."""
-    local = termed(colocated(docs), lex)
-    scored = score_termed(local, as_of_year, lex)
-    both = merged(scored.join(catalog_matches(local, catalog, lex), "doc_id", "left"))
+
+def analyzed(docs: DataFrame, catalog: DataFrame | Prepared, as_of_year: int, lex: Lexicon = DEFAULT) -> DataFrame:
+    """Scores, matches, suggestions, steps and rewrites of every document.
+
+    The documents are read, tokenized and scored once and written to the shared folder without their raw texts. The catalog
+    side reads the term columns of it, the report side the others; one shuffle by document joins them.
+    """
+    ready = catalog if isinstance(catalog, Prepared) else prepare(catalog, lex)
+    scored = score_termed(termed(docs, lex), as_of_year, lex).withColumn("bullet_rewrites", bullet_rewrites(F.col("raw_text"), F.col("title"), lex))
+    local = materialize(scored.select(*KEPT), "scored")
+    both = merged(local.join(catalog_matches(local, ready), "doc_id", "left"))
     scores, matches, p, title = F.col("criteria"), F.col("matches"), F.col("profile"), F.col("title")
     return both.withColumns(
         {
             "suggestions": suggestions(scores, matches, p, lex),
             "analysis_steps": analysis_steps(scores, matches, p, title, lex),
-            "bullet_rewrites": bullet_rewrites(F.col("raw_text"), title, lex),
         }
     )
 
@@ -54,5 +65,5 @@ def report_rows(analysis: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     )
 
 
-def scan(docs: DataFrame, catalog: DataFrame, as_of_year: int, lex: Lexicon = DEFAULT) -> DataFrame:
+def scan(docs: DataFrame, catalog: DataFrame | Prepared, as_of_year: int, lex: Lexicon = DEFAULT) -> DataFrame:
     return report_rows(analyzed(docs, catalog, as_of_year, lex), lex)

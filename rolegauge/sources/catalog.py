@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from rolegauge.functions.text import keyword_list, strip
 from rolegauge.lexicon import DEFAULT_ROLES
 from rolegauge.operators.numbering import number_rows
+from rolegauge.operators.validation import catalog_reason
+from rolegauge.schemas import path_exists
 
 ROW = T.StructType(
     [
@@ -26,20 +28,22 @@ def default_catalog(spark: SparkSession) -> DataFrame:
 
 
 def read_catalog(spark: SparkSession, path: str | None) -> DataFrame:
-    """A catalog CSV in file order, or the default roles when there is none."""
-    if path is None:
+    """A catalog CSV, or a folder of them, in the order of file names and lines; the default roles when there is none."""
+    if path is None or not path_exists(spark, path):
         return default_catalog(spark)
     rows = spark.read.csv(path, schema=ROW, header=True, quote='"', escape='"', multiLine=True)
-    placed = rows.withColumn("at", F.monotonically_increasing_id())
+    # A file with quoted line breaks is one task's work, so the places of its rows follow each other.
+    placed = rows.withColumn("at", F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line")))
     return number_rows(placed, "job_id", order="at").select(
         "job_id", "title", "keywords", "description"
     )
 
 
 def append_roles(catalog: DataFrame, new_rows: DataFrame, order: str) -> DataFrame:
-    """The catalog followed by the new rows, numbered after the last one in the order of ``order``."""
+    """The catalog followed by the valid new rows, numbered after the last one in the order of ``order``."""
     next_id = catalog.agg(F.coalesce(F.max("job_id"), F.lit(-1)) + 1).scalar()
-    added = number_rows(new_rows, "offset", order=order).select(
+    valid = new_rows.filter(catalog_reason(F.col("title"), F.col("keywords"), F.col("description")).isNull())
+    added = number_rows(valid, "offset", order=order).select(
         (next_id + F.col("offset")).alias("job_id"),
         strip(F.col("title")).alias("title"),
         strip(F.col("keywords")).alias("keywords"),
@@ -48,6 +52,14 @@ def append_roles(catalog: DataFrame, new_rows: DataFrame, order: str) -> DataFra
     return catalog.unionByName(added)
 
 
+def write_catalog(catalog: DataFrame, path: str) -> None:
+    """The catalog as CSV files whose names and lines keep its order."""
+    ordered = catalog.repartitionByRange("job_id").sortWithinPartitions("job_id")
+    ordered.select("title", "keywords", "description").write.mode("errorifexists").csv(
+        path, header=True, quote='"', escape='"', emptyValue="", lineSep="\n"
+    )
+
+
 def with_keywords(catalog: DataFrame) -> DataFrame:
     """The catalog with its comma lists as arrays; a missing description is an empty one."""
     return catalog.select(

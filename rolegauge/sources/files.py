@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -16,11 +17,16 @@ from rolegauge.operators.validation import accepted_file, extension, signature_m
 
 W = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
 UNREADABLE = "no readable text"
+# File names in any case, for the listing itself: other files are not opened.
+NAMES = "*.{[pP][dD][fF],[tT][xX][tT],[dD][oO][cC][xX]}"
+MAX_XML_BYTES = 256 << 20
+DAMAGE = (zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, ElementTree.ParseError, KeyError, RuntimeError, EOFError, OSError, ValueError)
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """Accepted files below ``path``: ``path, ext, length, content``. Other files are never opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", NAMES)
+    files = source.load(path)
     return files.filter(accepted_file(F.col("path"), F.col("length"))).select(
         "path", extension(F.col("path")).alias("ext"), "length", "content"
     )
@@ -32,7 +38,8 @@ def decode_text(content: Column) -> Column:
 
 
 def docx_text(content: bytes) -> str:
-    """Paragraphs, then table cells row by row, one per line; empty when the file cannot be read."""
+    """Paragraphs, then table cells row by row, one per line; a merged cell counts once for each place it covers. Empty when the
+    file is damaged, encrypted, packed in an unknown way, or its text is larger than MAX_XML_BYTES."""
 
     def paragraph(node: ElementTree.Element) -> str:
         signs = {f"{W}tab": "\t", f"{W}br": "\n", f"{W}cr": "\n"}
@@ -40,14 +47,25 @@ def docx_text(content: bytes) -> str:
 
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            if archive.getinfo("word/document.xml").file_size > MAX_XML_BYTES:
+                return ""
             body = ElementTree.fromstring(archive.read("word/document.xml")).find(f"{W}body")
-    except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
+    except DAMAGE:
         return ""
     if body is None:
         return ""
     lines = [paragraph(p) for p in body.findall(f"{W}p")]
-    for cell in (c for t in body.findall(f"{W}tbl") for r in t.findall(f"{W}tr") for c in r.findall(f"{W}tc")):
-        lines.append("\n".join(paragraph(p) for p in cell.findall(f"{W}p")))
+    for table in body.findall(f"{W}tbl"):
+        above: list[str] = []
+        for row in table.findall(f"{W}tr"):
+            texts: list[str] = []
+            for cell in row.findall(f"{W}tc"):
+                span, merge = cell.find(f"{W}tcPr/{W}gridSpan"), cell.find(f"{W}tcPr/{W}vMerge")
+                below = merge is not None and merge.get(f"{W}val") != "restart" and len(texts) < len(above)
+                text = above[len(texts)] if below else "\n".join(paragraph(p) for p in cell.findall(f"{W}p"))
+                texts += [text] * (int(span.get(f"{W}val", "1")) if span is not None else 1)
+            lines += texts
+            above = texts
     return "\n".join(lines)
 
 

@@ -2,32 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolegauge.functions.columns import first, joined, nonempty
 from rolegauge.functions.text import strip
 from rolegauge.lexicon import CRITERION_KEYS, DEFAULT, Lexicon
 from rolegauge.operators.numbering import number_rows
+from rolegauge.schemas import path_exists
 
-JOBS = "array<struct<title:string,match_score:int>>"
-CRITERIA = "map<string,int>"
+# Numbers stay as they were written, so a fraction is neither lost nor rounded.
+JOB = "struct<title:string,match_score:string>"
+JOBS = f"array<{JOB}>"
+CRITERIA = "map<string,string>"
 TEXTS = "array<string>"
 ANALYSIS = (
     "struct<word_count:int,score_details:map<string,string>,bullet_rewrites:array<struct<before:string,after:string>>,"
     "analysis_steps:array<struct<label:string,detail:string>>>"
 )
+# An empty report table: the payloads as a scan writes them.
+REPORTS_DDL = (
+    f"id bigint, user_id bigint, filename string, uploaded_at timestamp, score int, matched_jobs {JOBS}, criteria {CRITERIA}, "
+    f"suggestions {TEXTS}, analysis {ANALYSIS}"
+)
+
+# A quoted string, a word, a run of other signs, or a lone quote; quoted strings and runs give nothing back.
+LITERAL_PARTS = r"""(?s)"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'|\w++|[^"'\w]++|."""
+PYTHON_WORDS = {"None": "null", "True": "true", "False": "false"}
+
+
+def as_json(text: Column) -> Column:
+    """A Python literal with JSON's words for its constants; quoted strings stay as they are."""
+
+    def word(part: Column) -> Column:
+        result = part
+        for python, other in PYTHON_WORDS.items():
+            result = F.when(part == python, other).otherwise(result)
+        return result
 
-# Fixed limits of the exported page.
-PAGE_LINES, LINE_CHARS = 42, 95
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(LITERAL_PARTS), F.lit(0)), word), "")
 
 
 def parsed(text: Column, schema: str, opening: str) -> Column:
     """A payload text as JSON, else as a Python literal, else NULL. ``opening`` is the first character of its kind."""
-    as_json = F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(text, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false"
-    )
-    value = F.coalesce(F.from_json(text, schema), F.from_json(as_json, schema))
+    value = F.coalesce(F.from_json(text, schema), F.from_json(as_json(text), schema))
     return F.when(F.ltrim(text).startswith(opening), value)
 
 
@@ -38,36 +56,55 @@ def string_payload(text: Column) -> Column:
     return F.when(quoted, F.get(F.from_json(wrapped, TEXTS), F.lit(0)))
 
 
+def is_object(element: Column) -> Column:
+    return element.startswith("{")
+
+
 def job_list(text: Column) -> Column:
-    """Matches of a stored report; one quoted string of titles is split at its commas."""
+    """Matches of a stored report, element by element: objects stay, other elements are no matches. One quoted string of titles is
+    split at its commas."""
+    elements = F.filter(parsed(text, TEXTS, "["), is_object)
+    objects = F.transform(elements, lambda e: F.from_json(e, JOB))
     names = F.filter(F.transform(F.split(string_payload(text), ","), strip), lambda t: t != "")
-    from_names = F.transform(names, lambda t: F.struct(t.alias("title"), F.lit(None).cast("int").alias("match_score")))
-    plain = F.rlike(text, F.lit(r"\A\s*\[\s*[\"']"))
-    objects = F.when(~plain, parsed(text, JOBS, "["))
+    from_names = F.transform(names, lambda t: F.struct(t.alias("title"), F.lit(None).cast("string").alias("match_score")))
     return F.coalesce(objects, from_names, F.array().cast(JOBS))
 
 
 def match_summary(text: Column) -> Column:
-    """Titles of the matches as one line; a quoted string is returned as it is."""
-    plain = F.rlike(text, F.lit(r"\A\s*\[\s*[\"']"))
-    titles = F.filter(
-        F.when(plain, F.transform(parsed(text, TEXTS, "["), strip)).otherwise(parsed(text, JOBS, "[").getField("title")),
-        nonempty,
-    )
-    line = F.when(F.size(titles) > 0, joined(titles))
-    return F.coalesce(line, string_payload(text), F.lit("None"))
+    """Titles of the matches as one line, objects and plain titles mixed; a quoted string is returned as it is."""
+    title = lambda e: F.when(is_object(e), F.from_json(e, JOB)["title"]).otherwise(strip(e))
+    titles = F.filter(F.transform(parsed(text, TEXTS, "["), title), nonempty)
+    return F.coalesce(F.when(F.size(titles) > 0, joined(titles)), string_payload(text), F.lit("None"))
+
+
+def summaries(reports: DataFrame) -> Column:
+    """The summary line of each report, whether its matches are text or typed."""
+    if is_text(reports, "matched_jobs"):
+        return match_summary(F.col("matched_jobs"))
+    titles = F.filter(F.col("matched_jobs.title"), nonempty)
+    return F.when(F.size(titles) > 0, joined(titles)).otherwise("None")
+
+
+def is_text(reports: DataFrame, name: str) -> bool:
+    return dict(reports.dtypes)[name] == "string"
 
 
 def with_payload(reports: DataFrame) -> DataFrame:
-    """Replace the four payload texts by typed columns; what cannot be read becomes empty."""
-    return reports.withColumns(
-        {
-            "matched_jobs": job_list(F.col("matched_jobs")),
-            "criteria": F.coalesce(parsed(F.col("criteria"), CRITERIA, "{"), F.create_map().cast(CRITERIA)),
-            "suggestions": F.coalesce(parsed(F.col("suggestions"), TEXTS, "["), F.array().cast(TEXTS)),
-            "analysis": parsed(F.col("analysis"), ANALYSIS, "{"),
-        }
-    )
+    """Typed payloads: texts are parsed, what cannot be read becomes empty; columns that are typed already stay."""
+    typed = {
+        "matched_jobs": job_list(F.col("matched_jobs")),
+        "criteria": F.coalesce(parsed(F.col("criteria"), CRITERIA, "{"), F.create_map().cast(CRITERIA)),
+        "suggestions": F.coalesce(parsed(F.col("suggestions"), TEXTS, "["), F.array().cast(TEXTS)),
+        "analysis": parsed(F.col("analysis"), ANALYSIS, "{"),
+    }
+    return reports.withColumns({name: value for name, value in typed.items() if is_text(reports, name)})
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """The stored reports with typed payloads, of old tables (texts) and of those that a scan has written; empty when there are none."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], REPORTS_DDL)
+    return with_payload(spark.read.parquet(path)).drop("upload_day")
 
 
 def timestamp_text(ts: Column) -> Column:
@@ -128,23 +165,33 @@ def report_lines(lex: Lexicon = DEFAULT) -> Column:
             "Matches",
             F.transform(
                 "matched_jobs",
-                lambda j: text("- ", F.coalesce(j["title"], F.lit("Role")), ": ", F.coalesce(j["match_score"], F.lit(0)), "%"),
+                lambda j: text("- ", F.coalesce(j["title"], F.lit("Role")), ": ", F.coalesce(j["match_score"].cast("string"), F.lit("0")), "%"),
             ),
             F.lit(True),
         ),
     )
 
 
-def export_lines(reports: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
-    """``id, line_no, line`` of the exported page: the first 42 lines, 95 characters each."""
-    lines = with_payload(reports).select("id", F.posexplode(first(report_lines(lex), PAGE_LINES)).alias("line_no", "line"))
-    return lines.select("id", "line_no", F.substring("line", 1, LINE_CHARS).alias("line"))
+def page(lines: Column, most_lines: int | None, most_chars: int | None) -> Column:
+    """The lines of a page; without limits all of them, whole."""
+    kept = lines if most_lines is None else first(lines, most_lines)
+    return kept if most_chars is None else F.transform(kept, lambda line: F.substring(line, 1, most_chars))
+
+
+def export_lines(
+    reports: DataFrame, lex: Lexicon = DEFAULT, most_lines: int | None = None, most_chars: int | None = None
+) -> DataFrame:
+    """``id, line_no, line``: every line of every report, unless limits are given."""
+    lines = page(report_lines(lex), most_lines, most_chars)
+    return with_payload(reports).select("id", F.posexplode(lines).alias("line_no", "line"))
 
 
-def write_pages(reports: DataFrame, path: str, lex: Lexicon = DEFAULT) -> None:
+def write_pages(
+    reports: DataFrame, path: str, lex: Lexicon = DEFAULT, most_lines: int | None = None, most_chars: int | None = None
+) -> None:
     """The exported page of each report as a text file in a folder of its own; meant for a selection of reports."""
-    cut = F.transform(first(report_lines(lex), PAGE_LINES), lambda line: F.substring(line, 1, LINE_CHARS))
-    with_payload(reports).select("id", F.array_join(cut, "\n").alias("page")).write.partitionBy("id").text(path)
+    text = F.array_join(page(report_lines(lex), most_lines, most_chars), "\n")
+    with_payload(reports).select("id", text.alias("page")).write.partitionBy("id").text(path)
 
 
 def labelled(values: Column, lex: Lexicon = DEFAULT) -> Column:
@@ -169,6 +216,12 @@ def append_reports(reports: DataFrame, path: str) -> None:
     dated.write.mode("append").partitionBy("upload_day").parquet(path)
 
 
+def write_backfill(reports: DataFrame, primary: DataFrame, path: str) -> None:
+    """The whole table with its owners filled in, as a new snapshot; the old one stays until the caller switches to the new path."""
+    filled = backfill_owner(reports, primary).withColumn("upload_day", F.to_date("uploaded_at"))
+    filled.write.mode("errorifexists").partitionBy("upload_day").parquet(path)
+
+
 def backfill_owner(reports: DataFrame, primary: DataFrame) -> DataFrame:
     """Reports without an owner go to the primary user; ``primary`` holds that one id, or NULL without users."""
     return reports.withColumn("user_id", F.coalesce("user_id", primary.scalar()))

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rolegauge.lexicon import DEFAULT, Lexicon
+from rolegauge.operators.catalog_match import prepare
 from rolegauge.plans.scan import scan
+from rolegauge.schemas import path_exists
+from rolegauge.sources.reports import report_ids
 
 
 def start_scan(
@@ -17,11 +20,19 @@ def start_scan(
     """Run the batch plan on every micro-batch of ``docs``.
 
     A micro-batch writes to its own folder and overwrites it when it is repeated after a failure, so each document
-    is reported once. Report ids come from the document id and do not depend on the order of arrival.
+    is reported once. Report ids follow those of the micro-batches before it, as in the batch form (``report_ids``).
     """
 
+    ready = prepare(catalog, lex)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        reports = scan(batch, catalog, as_of_year, lex).withColumn("id", F.xxhash64("doc_id"))
+        spark = batch.sparkSession
+        known = spark.createDataFrame([], "id bigint")
+        if batch_id and path_exists(spark, out):
+            stored = spark.read.option("basePath", out).parquet(out)
+            known = stored.filter(F.col("batch") < batch_id).select("id")
+        ids = report_ids(batch, "doc_id", known)
+        reports = scan(batch, ready, as_of_year, lex).join(ids, "doc_id")
         reports.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (

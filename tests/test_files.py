@@ -14,17 +14,35 @@ DOCX = (
     "<w:tbl><w:tr><w:tc><w:p><w:r><w:t>a</w:t></w:r></w:p></w:tc><w:tc><w:p><w:r><w:t>b</w:t></w:r></w:p></w:tc></w:tr></w:tbl>"
     "<w:p><w:r><w:t>Python &amp; SQL</w:t></w:r></w:p></w:body></w:document>"
 )
+MERGED = (
+    '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body><w:tbl>'
+    '<w:tr><w:tc><w:tcPr><w:gridSpan w:val="2"/></w:tcPr><w:p><w:r><w:t>wide</w:t></w:r></w:p></w:tc>'
+    '<w:tc><w:tcPr><w:vMerge w:val="restart"/></w:tcPr><w:p><w:r><w:t>tall</w:t></w:r></w:p></w:tc></w:tr>'
+    "<w:tr><w:tc><w:p/></w:tc><w:tc><w:p><w:r><w:t>c</w:t></w:r></w:p></w:tc><w:tc><w:tcPr><w:vMerge/></w:tcPr><w:p/></w:tc></w:tr>"
+    "</w:tbl></w:body></w:document>"
+)
 
 
-def docx():
+def docx(body=DOCX):
     out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as archive:
-        archive.writestr("word/document.xml", DOCX)
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("word/document.xml", body)
     return out.getvalue()
 
 
+def test_damaged_and_merged():
+    whole = docx(DOCX * 1 + "<!--" + "x" * 5000 + "-->")
+    place = whole.index(b"document.xml") + 12
+    assert S.docx_text(whole[:place] + b"\xff" * 40 + whole[place + 40 :]) == ""
+    locked = bytearray(docx())
+    locked[6] |= 1
+    locked[locked.index(b"PK\x01\x02") + 8] |= 1
+    assert S.docx_text(bytes(locked)) == ""
+    assert S.docx_text(docx(MERGED)) == "wide\nwide\ntall\n\nc\ntall"
+
+
 def test_names(spark):
-    names = ["resume.pdf", "resume.DOCX", "a.b.txt", "resume.exe", "resume", "x.txt."]
+    names = ["letter.pdf", "two.parts.DoCx", "n.txt", "letter.zip", "letter", "x.txt."]
     df = spark.createDataFrame([(n,) for n in names], "f string")
     assert [r[0] for r in df.select(V.accepted_file(F.col("f"), F.lit(5))).collect()] == [True, True, True, False, False, False]
     assert not spark.range(1).select(V.accepted_file(F.lit("a.txt"), F.lit(10 * 1024 * 1024 + 1))).first()[0]
@@ -45,7 +63,9 @@ def test_folder(spark, tmp_path):
     }
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
-    found = S.extracted(S.read_files(spark, str(tmp_path)))
+    files = S.read_files(spark, str(tmp_path))
+    assert not [f for f in files.inputFiles() if f.endswith("tool.exe")]
+    found = S.extracted(files)
     rows = {r["path"].rsplit("/", 1)[1]: (r["raw_text"], r["reject_reason"]) for r in found.collect()}
     assert rows == {
         "plain.txt": ("Alex\nPython ü end", None),

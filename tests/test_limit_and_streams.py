@@ -58,14 +58,14 @@ def test_hot_key_is_spread_over_partitions(spark):
     assert {r["n"]: r["accepted"] for r in got.collect()} == brute(rows, 5, 300)
 
 
-@pytest.mark.parametrize("lateness", [None, "1 hour"])
-def test_stream_equals_batch(spark, tmp_path, lateness):
+@pytest.mark.parametrize("keep", [None, 3600])
+def test_stream_equals_batch(spark, tmp_path, keep):
     rows = sorted(attempts(200, 5, 0.5), key=lambda r: r[2])
     source = str(tmp_path / "in")
     for part in (rows[:90], rows[90:]):
         frame(spark, part).coalesce(1).write.mode("append").parquet(source)
     stream = spark.readStream.schema("n bigint, key string, ts timestamp").parquet(source)
-    limited = limit_stream(stream, ["key"], "ts", "n", 3, 300, lateness)
+    limited = limit_stream(stream, ["key"], "ts", "n", 3, 300, keep)
     query = (
         limited.writeStream.format("parquet").option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
@@ -75,6 +75,23 @@ def test_stream_equals_batch(spark, tmp_path, lateness):
     assert got == brute(rows, 3, 300)
 
 
+def test_late_attempts_keep_a_verdict(spark, tmp_path):
+    times = [0, 100, 90_000, 50, 90_001]
+    rows = [(n, "k", START + timedelta(seconds=t), "POST" if n != 1 else "GET") for n, t in enumerate(times)]
+    source = str(tmp_path / "in")
+    for row in rows:
+        spark.createDataFrame([row], "n bigint, key string, ts timestamp, method string").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("n bigint, key string, ts timestamp, method string").option("maxFilesPerTrigger", 1).parquet(source)
+    limited = limit_stream(stream, ["key"], "ts", "n", 2, 300, keep_seconds=300, counted=F.col("method") != "GET")
+    query = (
+        limited.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination(120)
+    got = {r["n"]: r["accepted"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert set(got) == {0, 1, 2, 3, 4} and got[1]
+
+
 def test_continuous_scan_equals_batch(spark, tmp_path):
     shape = "doc_id bigint, raw_text string, ext string, title string, description string, user_id bigint, filename string, uploaded_at timestamp"
     rows = [(n, f"python sql with {n} years of experience", "txt", "Data Analyst", None, 1, "a.txt", START) for n in range(6)]

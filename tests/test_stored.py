@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from rolegauge.operators import history as H
 from rolegauge.operators import validation as V
 from rolegauge.operators.numbering import number_rows
+from rolegauge.plans.history import dashboards, exported, recent_history, report_details
+from rolegauge.plans.scan import scan
 from rolegauge.schemas import CONTACTS_DDL, STORED_REPORTS_DDL, USERS_DDL, conform, read_or_empty, schema
 from rolegauge.sources import catalog as Cat
 from rolegauge.sources import reports as R
@@ -32,29 +34,33 @@ def payload(spark, values):
 def test_payloads(spark):
     values = [
         '[{"title": "A", "match_score": 3}]', "[{'title': 'B', 'note': None, 'ok': True}]", "broken", '"X, Y"', "", None,
-        '{"title": "no list"}', '["P", " "]', "[]",
+        '{"title": "no list"}', '["P", " "]', "[]", "[{'title': 'True North', 'note': None}]", '["P", {"title": "x", "match_score": 7.5}]',
+        '[{"title": "x"}, "P"]', "[{'title': 'it\\'s None', 'ok': False}]",
     ]
     out = [
         (r[0], [j["title"] for j in r[1]])
         for r in payload(spark, values).select(R.match_summary(F.col("t")), R.job_list(F.col("t"))).collect()
     ]
-    assert [s for s, _ in out] == ["A", "B", "None", "X, Y", "None", "None", "None", "P", "None"]
+    assert [s for s, _ in out] == ["A", "B", "None", "X, Y", "None", "None", "None", "P", "None", "True North", "P, x", "x, P", "it's None"]
     assert [t for _, t in out][:7] == [["A"], ["B"], [], ["X", "Y"], [], [], []]
+    assert [t for _, t in out][9:] == [["True North"], ["x"], ["x"], ["it's None"]]
 
 
 def test_wrong_kinds_become_empty(spark):
-    df = payload(spark, ["[1]", '{"Skills": 3, "Education": 1}', None]).select(R.parsed(F.col("t"), R.CRITERIA, "{"))
+    df = payload(spark, ["[1]", '{"Skills": 7.5, "Education": 1}', None]).select(R.parsed(F.col("t"), R.CRITERIA, "{"))
     got = [r[0] for r in df.collect()]
-    assert got[0] is None and got[2] is None and list(got[1].items()) == [("Skills", 3), ("Education", 1)]
+    assert got[0] is None and got[2] is None and list(got[1].items()) == [("Skills", "7.5"), ("Education", "1")]
 
 
-def test_report_lines_keep_the_page_size(spark):
+def test_report_lines_are_whole_unless_a_page_is_asked_for(spark):
     advice = "[" + ", ".join(f'"{"long " * 30}{n}"' for n in range(60)) + "]"
     df = spark.createDataFrame(
         [(1, 1, "a.txt", DAY, 70, None, '{"Skills": 3}', advice, '{"score_details": {"Skills": "Because."}}')], STORED_REPORTS_DDL
     )
     lines = [r["line"] for r in R.export_lines(df).orderBy("line_no").collect()]
-    assert len(lines) == 42 and max(map(len, lines)) == 95
+    assert len(lines) == 6 + 2 + 2 + 60 + 2 and max(map(len, lines)) == 2 + 150 + 2
+    page = [r["line"] for r in R.export_lines(df, most_lines=42, most_chars=95).orderBy("line_no").collect()]
+    assert page == [line[:95] for line in lines[:42]]
     assert lines[1:4] == ["File: a.txt", "Saved: 2025-01-01T00:00:00+00:00", "Score: 70 / 100"]
     assert lines[6:8] == ["- Skills: 3/10", "  Because."]
 
@@ -103,8 +109,10 @@ def test_backfill_and_new_users(spark):
     people = users(spark, [(1, "admin"), (2, "ann")])
     filled = R.backfill_owner(reports(spark, [(1, None, 0, 5), (2, 7, 0, 5)]), H.key_users(people).select("primary_id"))
     assert {r["id"]: r["user_id"] for r in filled.collect()} == {1: 2, 2: 7}
-    wanted = spark.createDataFrame([(1, "ann"), (2, "bob"), (3, "bob"), (4, "cy")], "n int, username string")
-    assert sorted(map(tuple, H.new_users(wanted, people, "n").collect())) == [(2, "bob"), (4, "cy")]
+    wanted = spark.createDataFrame([(1, "ann"), (2, " bob "), (3, "bob"), (4, "cy"), (5, "bad name"), (6, "cyd")], "n int, username string")
+    assert sorted(map(tuple, H.new_users(wanted, people, "n").collect())) == [(2, "bob"), (6, "cyd")]
+    table = H.insert_users(wanted, people, "n", F.lit(DAY))
+    assert sorted(map(tuple, table.collect())) == [(1, "admin", DAY), (2, "ann", DAY), (3, "bob", DAY), (4, "cyd", DAY)]
 
 
 def test_numbers_are_consecutive_for_any_distribution(spark):
@@ -125,10 +133,45 @@ def test_catalog_file_keeps_file_order(spark, tmp_path):
     path.write_text('title,keywords,description\nB,"x, y","first, one"\nA,z,\n')
     rows = Cat.read_catalog(spark, str(path)).orderBy("job_id").collect()
     assert [(r["job_id"], r["title"], r["keywords"]) for r in rows] == [(0, "B", "x, y"), (1, "A", "z")]
-    assert Cat.read_catalog(spark, None).count() == 5
-    extra = spark.createDataFrame([(1, " UX Designer ", "figma, research", None)], "n int, title string, keywords string, description string")
-    added = Cat.append_roles(Cat.default_catalog(spark), extra, "n").orderBy("job_id").collect()
-    assert (added[-1]["job_id"], added[-1]["title"], added[-1]["description"]) == (5, "UX Designer", "")
+    assert Cat.read_catalog(spark, None).count() == 5 and Cat.read_catalog(spark, str(tmp_path / "absent.csv")).count() == 5
+    rows = [(1, " Falconer ", "hawks, gloves", None), (2, "", "x", ""), (3, "y", " ", "")]
+    extra = spark.createDataFrame(rows, "n int, title string, keywords string, description string")
+    whole = Cat.append_roles(Cat.default_catalog(spark), extra, "n")
+    added = whole.orderBy("job_id").collect()
+    assert len(added) == 6 and (added[-1]["job_id"], added[-1]["title"], added[-1]["description"]) == (5, "Falconer", "")
+    Cat.write_catalog(whole, str(tmp_path / "whole"))
+    again = Cat.read_catalog(spark, str(tmp_path / "whole")).orderBy("job_id").collect()
+    assert [(r["job_id"], r["title"], r["keywords"]) for r in again] == [(r["job_id"], r["title"], r["keywords"]) for r in added]
+
+
+def test_catalog_folder_is_read_by_file_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("title,keywords,description\nA,z,\n")
+    (tmp_path / "b.csv").write_text("title,keywords,description\n" + "".join(f"B{n},z,{'d' * 200}\n" for n in range(500)))
+    rows = Cat.read_catalog(spark, str(tmp_path)).orderBy("job_id").collect()
+    assert [r["title"] for r in rows] == ["A", *[f"B{n}" for n in range(500)]]
+
+
+def test_reports_of_a_scan_are_whole(spark, tmp_path):
+    """Scan, append, read, look up, export."""
+    shape = "doc_id bigint, raw_text string, ext string, title string, description string, user_id bigint, filename string, uploaded_at timestamp"
+    docs = spark.createDataFrame([(n, f"kept bees and python for {n} years", "txt", "Beekeeper", "bees hives", 2, f"b{n}.txt", DAY) for n in range(3)], shape)
+    path = str(tmp_path / "reports")
+    assert R.read_reports(spark, path).count() == 0
+    found = scan(docs, Cat.default_catalog(spark), 2026)
+    R.append_reports(found.join(R.report_ids(docs, "doc_id", R.read_reports(spark, path)), "doc_id").drop("doc_id"), path)
+    stored = R.read_reports(spark, path)
+    people = users(spark, [(1, "admin"), (2, "ann")])
+    asked = spark.createDataFrame([(1, 2), (2, 1)], "report_id bigint, viewer_id bigint")
+    lines = [r["line"] for r in exported(asked, stored, people).orderBy("line_no").collect()]
+    assert lines[1] == "File: b0.txt" and any(line.startswith("- Skills: ") for line in lines) and "- Beekeeper: " in " ".join(lines)
+    details = report_details(asked, stored, people).first()
+    assert details["criteria"] and details["suggestions"] and details["matched_jobs"][0]["title"] == "Beekeeper" and details["analysis"]["score_details"]
+    assert recent_history(stored, people).filter("place = 1").first()["summary"].startswith("Beekeeper")
+    board, line = dashboards(stored, people)
+    assert board.filter("viewer_id = 2").first()["total_scans"] == 3 and line.count() == 3
+    primary = H.key_users(people).select("primary_id")
+    R.write_backfill(stored.withColumn("user_id", F.lit(None).cast("bigint")), primary, str(tmp_path / "filled"))
+    assert {r["user_id"] for r in R.read_reports(spark, str(tmp_path / "filled")).collect()} == {2}
 
 
 def test_schema(spark, tmp_path):
