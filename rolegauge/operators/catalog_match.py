@@ -115,7 +115,11 @@ def by_first_signs(docs: DataFrame, roles: DataFrame) -> DataFrame:
     known = roles.select(F.explode("keywords").alias("keyword")).distinct()
     known = known.withColumn("gram", F.substring("keyword", 1, GRAM))
     places = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)))
-    grams = [F.transform(places, lambda at, n=n: F.substring("text", at, F.lit(n))) for n in range(1, GRAM + 1)]
+
+    def grams_of(size: int) -> Column:
+        return F.transform(places, lambda at: F.substring(F.col("text"), at, F.lit(size)))
+
+    grams = [grams_of(size) for size in range(1, GRAM + 1)]
     found = docs.select("doc_id", F.explode(F.array_distinct(F.concat(*grams))).alias("gram")).join(known, "gram")
     checked = found.select("doc_id", "keyword").distinct().join(docs.select("doc_id", "text"), "doc_id")
     hits = checked.filter(F.contains("text", "keyword")).groupBy("doc_id").agg(F.collect_set("keyword").alias("hits"))

@@ -4,8 +4,10 @@ than the window. Rejected attempts do not count.
 Every decision depends on the ones before it, and one key may hold a large part of all attempts. The table is
 therefore range-partitioned by (key, time), which cuts a hot key into many partitions of equal size. Partitions are
 judged at the same time, each as if nothing came before; then only the accepted times at the end of a partition (at
-most ``limit`` numbers) are handed to the next one, and the partitions whose start changes are judged again until
-nothing changes. No task ever holds more than one Arrow batch of a key.
+most ``limit`` numbers, none older than the window) are handed to the next one. No accepted attempt reaches over a pause
+as long as the window, so the end of a partition with such a pause, or with another key, does not depend on its start:
+it is final after the first pass. Only partitions without one are judged again when their start changes, and a round
+computes no other partition. No task ever holds more than one Arrow batch of a key.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from rolegauge.functions.text import strip
@@ -42,8 +44,10 @@ def judge(times: np.ndarray, accepted: deque, limit: int, window: int) -> np.nda
 
 
 def _judged(batches: Iterator[pd.DataFrame], starts: dict, limit: int, window: int, ends: bool) -> Iterator[pd.DataFrame]:
-    """Judge the sorted rows of one partition; yields decided rows, or one row with the state at the end."""
+    """Judge the sorted rows of one partition; yields decided rows, or one row with the state at the end. ``cut`` tells that
+    the end does not depend on the start."""
     key, first_key, part, accepted = None, None, None, deque()
+    first_at, last_at, cut = None, None, False
     for batch in batches:
         if batch.empty:
             continue
@@ -53,16 +57,21 @@ def _judged(batches: Iterator[pd.DataFrame], starts: dict, limit: int, window: i
         for begin, end in zip(cuts, cuts[1:]):
             if keys[begin] != key:
                 if part is None:
-                    part, first_key = int(batch["_part"].iloc[0]), keys[begin]
+                    part, first_key, first_at = int(batch["_part"].iloc[0]), keys[begin], int(times[begin])
                     accepted = deque(starts.get(part, ()))
                 else:
-                    accepted = deque()
+                    accepted, cut = deque(), True
                 key = keys[begin]
+            elif times[begin] - last_at >= window:
+                cut = True
+            cut = cut or bool((np.diff(times[begin:end]) >= window).any())
+            last_at = int(times[end - 1])
             decided[begin:end] = judge(times[begin:end], accepted, limit, window)
         if not ends:
             yield batch.drop(columns=["_key", "_at", "_part"]).assign(accepted=decided)
     if ends and part is not None:
-        yield pd.DataFrame({"part": [part], "first_key": [first_key], "last_key": [key], "state": [list(accepted)]})
+        row = {"part": part, "first_key": first_key, "last_key": key, "first_at": first_at, "cut": cut, "state": list(accepted)}
+        yield pd.DataFrame([row])
 
 
 def client_key(forwarded: Column, address: Column) -> Column:
@@ -89,26 +98,24 @@ def rate_limit(
     ordered = shaped.repartitionByRange(shuffle_partitions(spark), *placed).sortWithinPartitions(*placed).checkpoint()
     numbered = ordered.withColumn("_part", F.spark_partition_id())
 
-    ends: dict[int, tuple] = {}
+    ends: dict[int, Row] = {}
     starts: dict[int, list[int]] = {}
     pending: list[int] | None = None
     while pending is None or pending:
-        todo = numbered if pending is None else ordered.filter(F.spark_partition_id().isin(pending)).withColumn("_part", F.spark_partition_id())
         current = dict(starts)
-        found = todo.select("_key", "_at", "_part").mapInPandas(
+        found = numbered.select("_key", "_at", "_part").mapInPandas(
             lambda batches: _judged(batches, current, limit, window, ends=True),
-            "part int, first_key string, last_key string, state array<bigint>",
+            "part int, first_key string, last_key string, first_at bigint, cut boolean, state array<bigint>",
         )
-        # One short row per partition.
-        for row in found.toLocalIterator():
-            ends[row["part"]] = (row["first_key"], row["last_key"], list(row["state"]))
-        parts = sorted(ends)
-        fresh = {
-            part: ends[before][2]
-            for before, part in zip(parts, parts[1:])
-            if ends[part][0] == ends[before][1] and ends[before][2]
-        }
-        pending = [part for part in parts if fresh.get(part) != starts.get(part)]
+        # One short row per partition; a later round computes the pending ones only.
+        ends |= {row["part"]: row for row in spark.sparkContext.runJob(found.rdd, list, pending)}
+        parts, fresh = sorted(ends), {}
+        for before, part in zip(parts, parts[1:]):
+            if ends[part]["first_key"] == ends[before]["last_key"]:
+                reaching = [t for t in ends[before]["state"] if ends[part]["first_at"] - t < window]
+                if reaching:
+                    fresh[part] = reaching
+        pending = [part for part in parts if fresh.get(part) != starts.get(part) and not ends[part]["cut"]]
         starts = fresh
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in attempts.schema.fields)
