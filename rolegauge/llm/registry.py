@@ -65,6 +65,27 @@ def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join(table(spark, folder, "documents"))
 
 
+OP4_SQL = """
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE
+    WHEN len(w) >= 5 THEN list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM words),
+classes AS (SELECT s, min(doc_id) AS class_id, count(*) AS n_copies FROM sets WHERE len(s) > 0 GROUP BY s),
+grams AS (SELECT class_id, len(s) AS n, unnest(s) AS x FROM classes),
+pairs AS (
+  SELECT a.class_id AS a, b.class_id AS b FROM grams a JOIN grams b ON a.x = b.x AND a.class_id <> b.class_id
+  GROUP BY a.class_id, b.class_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*))),
+reach AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+ids AS (SELECT a, min(least(a, b)) AS group_id FROM reach GROUP BY a),
+links AS (SELECT a, count(*) AS n_links FROM pairs GROUP BY a)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(n_copies, 1) AS n_copies, coalesce(n_links, 0) AS n_links,
+       coalesce(group_id, class_id, doc_id) AS group_id
+FROM sets LEFT JOIN classes USING (s) LEFT JOIN ids ON ids.a = class_id LEFT JOIN links ON links.a = class_id
+"""
+
+
 def op5_passages(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_passages(table(spark, folder, "documents"))
 
@@ -89,7 +110,7 @@ ENTRIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
     "op3_mixing": (op3_mixing, mixing_statement()),
-    "op4_jaccard_join": (op4_jaccard_join, None),
+    "op4_jaccard_join": (op4_jaccard_join, OP4_SQL),
     "op5_passages": (op5_passages, None),
     "op6_language": (op6_language, None),
     "op7_token_files": (op7_token_files, None),
