@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 from rolegauge.checks import corpus as X
 from rolegauge.checks import files as Files
 from rolegauge.checks.plans import planned
+from rolegauge.checks.sentences import AS_OF_YEAR
 from rolegauge.checks.sql import base as B
 from rolegauge.checks.sql import stored as S
 from rolegauge.operators import history as H
 from rolegauge.operators import validation as V
 from rolegauge.operators.rate_limit import rate_limit
+from rolegauge.plans.scan import scan
 from rolegauge.schemas import STORED_REPORTS_DDL, conform, schema
 from rolegauge.sources import catalog as Cat
 from rolegauge.sources import files as Read
 from rolegauge.sources import reports as R
+from rolegauge.storage import new_folder
 
 
 def seconds(column):
@@ -143,7 +146,19 @@ def validate_catalog(spark, folder):
 
 
 def catalog_read(spark, folder):
-    return X.catalog(spark, folder).select("job_id", "title", "keywords", "description")
+    """The catalog written as CSV and read from there."""
+    path = new_folder(spark, "catalog")
+    Cat.write_catalog(X.catalog(spark, folder), path)
+    return Cat.read_catalog(spark, path)
+
+
+def report_roundtrip(spark, folder):
+    """Every line of the reports that a scan has written, read through the stored table."""
+    docs, path = X.corpus(spark, folder), new_folder(spark, "reports")
+    found = scan(docs, X.catalog(spark, folder), AS_OF_YEAR)
+    ids = R.report_ids(docs, "doc_id", R.read_reports(spark, path))
+    R.append_reports(found.join(ids, "doc_id").drop("doc_id"), path)
+    return R.export_lines(R.read_reports(spark, path))
 
 
 def catalog_append(spark, folder):
@@ -283,6 +298,8 @@ ENTRIES = {
           WHEN length({B.strip("repeat('skill ' || item_id || ', ', item_id * 3)")}) > 800 OR length({B.strip('text')}) > 800 THEN 'too long' END AS reject_reason
         FROM benchmark""",
     ),
+    # The lines of a whole scan have no short SQL form; their parts are compared in report_build and report_lines.
+    "report_roundtrip": (report_roundtrip, None),
     "catalog_read": (catalog_read, "SELECT job_id, title, keywords, description FROM k_catalog"),
     "catalog_append": (
         catalog_append,

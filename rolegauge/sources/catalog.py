@@ -56,7 +56,7 @@ def write_catalog(catalog: DataFrame, path: str) -> None:
     """The catalog as CSV files whose names and lines keep its order."""
     ordered = catalog.repartitionByRange("job_id").sortWithinPartitions("job_id")
     ordered.select("title", "keywords", "description").write.mode("errorifexists").csv(
-        path, header=True, quote='"', escape='"', emptyValue="", lineSep="\n"
+        path, header=True, quote='"', escape='"', lineSep="\n"
     )
 
 
