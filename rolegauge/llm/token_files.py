@@ -94,6 +94,34 @@ def write_raw(documents: DataFrame, folder: str, tokenizer_path: str) -> DataFra
     return materialize(ordered.mapInArrow(run, RAW), "raw-ids")
 
 
+def plus(total: np.ndarray, ids: list[int], counts: list[int]) -> np.ndarray:
+    """The counts per id, with those of some ids added; the array grows to the largest id."""
+    if ids and max(ids) >= len(total):
+        total = np.concatenate([total, np.zeros(max(ids) + 1 - len(total), np.int64)])
+    total[ids] += np.array(counts, np.int64)
+    return total
+
+
+def summed_counts(raw: DataFrame) -> np.ndarray:
+    """Counts of all files by id. Each task that reads reports adds them up; the driver gets one array per task, of the size of the
+    vocabulary."""
+    out = "ids array<int>, counts array<bigint>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for ids, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total = plus(total, ids, counts)
+        used = np.nonzero(total)[0]
+        arrays = [pa.array([used.astype(np.int32)], pa.list_(pa.int32())), pa.array([total[used]], pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, ["ids", "counts"])
+
+    total = np.zeros(0, np.int64)
+    for row in raw.select("ids", "counts").mapInArrow(run, out).toLocalIterator():
+        total = plus(total, row.ids, row.counts)
+    return total
+
+
 def raw_records(path: str) -> Iterator[tuple[list, list[int], np.ndarray]]:
     with source(path) as stream:
         while head := stream.read(4):
@@ -141,10 +169,9 @@ def write_token_files(documents: DataFrame, tokenizer_path: str | None = None, l
     spark = documents.sparkSession
     folder = new_folder(spark, "token-files")
     raw = write_raw(documents, folder, tokenizer_path or public_tokenizers.path(TOKENIZER))
-    summed = raw.select(F.explode(F.arrays_zip("ids", "counts")).alias("x")).groupBy("x.ids").agg(F.sum("x.counts").alias("n"))
-    found = sorted((r.ids, r.n) for r in summed.toLocalIterator())  # at most one row per id of the vocabulary
-    symbols = np.array([i for i, _ in found], np.uint32)
-    lengths = code_lengths(np.array([n for _, n in found], np.int64), max(MAX_BITS, len(found).bit_length()))
+    counts = summed_counts(raw)
+    symbols = np.nonzero(counts)[0].astype(np.uint32)
+    lengths = code_lengths(counts[symbols], max(MAX_BITS, len(symbols).bit_length()))
     begun, parts = 0, []
     for row in sorted(raw.select("part", "path", "n_ids").toLocalIterator()):  # one row per file
         parts.append((row.part, row.path, begun, row.n_ids))
