@@ -28,13 +28,14 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.fs
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolegauge.llm.batches import pieces
 from rolegauge.llm.huffman import CHECKPOINT, MAX_BITS, Codebook, code_lengths
-from rolegauge.llm.tokenizing import PieceEncoder
+from rolegauge.llm.tokenizing import piece_encoder
 from rolegauge.storage import materialize, new_folder
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -58,10 +59,11 @@ def source(path: str):
 
 
 def write_raw(documents: DataFrame, folder: str, tokenizer_path: str) -> DataFrame:
-    """Step 1. A raw file is a run of zlib-packed records (ids u32, doc_id i64 or null, size)."""
+    """Step 1. A raw file is a run of packed records (ids u32, doc_id i64 or null, size)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, stream, path, total = PieceEncoder(tokenizer_path, END_ID), None, "", 0
+        packer = zstandard.ZstdCompressor(level=1)
+        encoder, stream, path, total = piece_encoder(tokenizer_path, END_ID), None, "", 0
         counts = np.zeros(0, np.int64)
         for batch in batches:
             ids_of, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
@@ -77,7 +79,7 @@ def write_raw(documents: DataFrame, folder: str, tokenizer_path: str) -> DataFra
                 total += len(ids)
                 narrow = "<u2" if len(seen) <= 1 << 16 else "<u4"
                 head = json.dumps({"docs": ids_of[begin:end], "sizes": sizes.tolist(), "type": narrow}).encode()
-                body = zlib.compress(struct.pack("<I", len(head)) + head + ids.astype(narrow).tobytes(), 1)
+                body = packer.compress(struct.pack("<I", len(head)) + head + ids.astype(narrow).tobytes())
                 stream.write(struct.pack("<I", len(body)) + body)
         if stream is not None:
             stream.close()
@@ -125,7 +127,7 @@ def summed_counts(raw: DataFrame) -> np.ndarray:
 def raw_records(path: str) -> Iterator[tuple[list, list[int], np.ndarray]]:
     with source(path) as stream:
         while head := stream.read(4):
-            body = zlib.decompress(stream.read(struct.unpack("<I", head)[0]))
+            body = zstandard.ZstdDecompressor().decompress(stream.read(struct.unpack("<I", head)[0]))
             size = struct.unpack_from("<I", body)[0]
             about = json.loads(body[4 : 4 + size])
             yield about["docs"], about["sizes"], np.frombuffer(body, about["type"], offset=4 + size)

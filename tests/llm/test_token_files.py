@@ -55,7 +55,7 @@ def test_codebook_round_trip():
 def test_pieces_equal_whole_texts():
     rng = random.Random(6)
     whole = Tokenizer.from_file(PATH)
-    parts = ["word", "Über", " ", " ", "  ", "\n", "\t", "'s", "don't", "123", "!?", "é", " ", " ", "漢字", "\x1c", "<|endoftext|>", "🙂", "a b", "_"]
+    parts = ["word", "Über", " ", " ", "  ", "\n", "\t", "'s", "don't", "123", "!?", "é", " ", " ", "漢字", "\x1c", "<|endoftext|>", "🙂", "a b", "_", "one two\nthree", "\n"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(800)] + ["", " ", "a", " a ", "x" * 5000]
     assert all("".join(cut(t)) == t for t in texts)
     encoder = PieceEncoder(PATH, 2)
