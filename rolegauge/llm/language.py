@@ -3,7 +3,7 @@ the languages of that family.
 
 Features are hashed counts of character pairs and triples, square-rooted and of unit length. The models learn from at most
 TRAIN_PER_LANGUAGE documents of each language, chosen by a hash of the id among the rows that are not held out; the languages are the
-values seen there. Nothing but the text enters a prediction.
+(at most MOST_GROUPS, see `splits`) most frequent values there. Nothing but the text enters a prediction.
 
 A null text, or one without a letter, is `und` with score 0. Without a learnable row everything is `und`; with one language all texts
 with a letter get it. A language that the family table does not name is a family of its own. Ties go to the language first in

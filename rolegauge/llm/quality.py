@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rolegauge.llm.batches import map_texts
 from rolegauge.llm.boosted_trees import Trees, constant, fit
+from rolegauge.llm.splits import sample_of_each
 from rolegauge.llm.text_stats import FEATURES, statistics
 
 TRAIN_DOCUMENTS = 12_000
@@ -29,9 +30,8 @@ BASE = "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_du
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, most: int = TRAIN_DOCUMENTS) -> DataFrame:
     """At most `most` rows (doc_id, text, quality), chosen by a hash of the id."""
-    known = labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
-    order = F.xxhash64("__id")
-    chosen = known.where("__id is not null").orderBy(order, "__id", "quality").limit(most)
+    known = labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("quality"), F.lit(1).alias("__all"))
+    chosen = sample_of_each(known.where("quality in (0, 1) and __id is not null"), "__all", most, "__id").drop("__all")
     return documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "quality")
 
 

@@ -179,7 +179,8 @@ def train(documents: DataFrame, labels: DataFrame, most: tuple[int, int] = (TRAI
     for toxic, count in enumerate(most):
         ids = F.broadcast(sample_of_each(known.where(F.col("toxic") == toxic).distinct(), "toxic", 2 * count, "__id"))
         rows = texts.join(ids, F.col("doc_id") == F.col("__id")).select("doc_id", "text", "toxic")
-        found += [(r.doc_id, r.toxic, r.text) for r in sample_of_each(rows, "toxic", count).toLocalIterator()]
+        chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(count)  # of 2 x count rows at most
+        found += [(r.doc_id, r.toxic, r.text) for r in chosen.toLocalIterator()]
     found.sort()
     return fit([text for _, _, text in found], np.array([toxic for _, toxic, _ in found], float))
 
