@@ -13,7 +13,7 @@ import xxhash
 
 WIDTH = 5
 WORD = re.compile(r"[^\W_]+")
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 400_000
 
 # Odd multipliers of the shingle hash, one per place.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
