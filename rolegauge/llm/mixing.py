@@ -1,9 +1,17 @@
 """Mixing sources to target weights by iterative proportional fitting, then sampling by calibrated probabilities.
 
-Documents are counted in cells (source, language, topic). Raking multiplies the cells' token weights until their sums meet the target
-shares of each margin in turn; SWEEPS sweeps over all margins. A cell's factor (fitted weight per token, scaled so that the largest is at
-most 1) is the probability with which each of its documents is drawn, so the expected tokens meet the targets. A document is drawn if a
-number between 0 and 1 made from the MD5 of its id lies below: the same id is always treated alike, and repeated rows go together.
+Documents are counted in cells (source, language, topic). Two calibrations share cells, targets and the draw:
+
+* `mixed` and `sample_mixture` (the pipeline) draw to a token budget. A cell's factor is a product of one number per margin value, and its
+  probability is that factor, at most 1; in every sweep the numbers are solved again for the cells below 1, so cells that are used up do
+  not hold the others down. The budget is `budget` times the live tokens if that is given, else the largest at which every value with a
+  target share of LEAST_SHARE or more can get its share. Smaller values get all they have, if that is less than their share, and the
+  other values take the rest. The expected tokens meet the budget and the targets as far as the cells allow.
+* `mixture_weights` (the registered query) is held to its SQL statement: raking with SWEEPS sweeps over all margins, and all factors
+  divided by the largest. There one small cell sets the rate of the whole corpus.
+
+A document is drawn if a number between 0 and 1 made from the MD5 of its id lies below the probability: the same id is always treated
+alike, and repeated rows go together.
 
 DataFrame functions only. Sums are aggregated before any shuffle, so a hot source is no hot task; documents meet the cells in a broadcast
 while there are at most BROADCAST_CELLS of them (three short strings and a number each), in a plain join beyond.
@@ -21,6 +29,8 @@ from pyspark.sql import functions as F
 from rolegauge.storage import materialize
 
 SWEEPS = 10
+CAPPED_SWEEPS = 20
+LEAST_SHARE = 0.01
 BROADCAST_CELLS = 100_000
 NONE = "(none)"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -94,31 +104,83 @@ def with_probabilities(cells: DataFrame) -> DataFrame:
     return cells.select(*named, F.col("weight").alias("__weight"), (factor / F.lit(max(1.0, largest))).alias("__probability"))
 
 
+def token_budget(cells: DataFrame, shares: dict[str, DataFrame]) -> float:
+    """The most tokens at which each value with LEAST_SHARE or more has enough of them."""
+    limits = [cells.agg(F.sum("tokens")).first()[0] or 0.0]
+    for margin, share in shares.items():
+        sums = cells.groupBy(margin).agg(F.sum("tokens").alias("own")).join(share, margin).where(F.col("share") >= LEAST_SHARE)
+        limits.append(sums.agg(F.min(F.col("own") / F.col("share"))).first()[0])
+    return min(x for x in limits if x is not None)
+
+
+def filled(cells: DataFrame, margin: str, share: DataFrame, asked: float) -> DataFrame:
+    """(value, wanted): tokens by share, at most all that a value has; what it lacks goes to the other values."""
+    sums = materialize(cells.groupBy(margin).agg(F.sum("tokens").alias("own")).join(share, margin), f"wanted-{margin}")
+    level = asked
+    while True:
+        over = F.col("share") * F.lit(level) >= F.col("own")
+        whole, left = sums.agg(F.sum(F.when(over, F.col("own"))), F.sum(F.when(~over, F.col("share")))).first()
+        after = (asked - (whole or 0.0)) / left if left else level
+        if after <= level * (1 + 1e-9):
+            return sums.select(margin, F.least(F.col("share") * F.lit(level), F.col("own")).alias("wanted"))
+        level = after
+
+
+def capped_probabilities(cells: DataFrame, targets: dict[str, DataFrame], budget: float | None = None) -> DataFrame:
+    """(__source, __lang, __topic, weight, probability) of each cell, calibrated to a token budget with probabilities of at most 1."""
+    live = cells.where("tokens > 0")
+    for margin, target in targets.items():  # a value without a share takes its cells out
+        live = live.join(target.where("share > 0").select(margin), margin, "left_semi")
+    live = materialize(live.select(*MARGINS, "tokens", F.lit(1.0).alias("factor")), "cells")
+    shares = {m: materialize(normalised(live, m, t), f"target-{m}") for m, t in targets.items()}
+    total = live.agg(F.sum("tokens")).first()[0] or 0.0
+    asked = token_budget(live, shares) if budget is None else min(1.0, budget) * total
+    wanted = {m: materialize(filled(live, m, share, asked), f"target-{m}") for m, share in shares.items()}
+    fitted = live.withColumn("factor", F.lit(asked / total if total else 0.0))
+    used = F.col("tokens") * F.least(F.lit(1.0), F.col("factor"))
+    for _ in range(CAPPED_SWEEPS):
+        for margin, want in wanted.items():
+            sums = fitted.groupBy(margin).agg(F.sum(used).alias("now")).join(want, margin)
+            fitted = fitted.join(sums.select(margin, (F.col("wanted") / F.col("now")).alias("change")), margin)
+            fitted = fitted.select(*MARGINS, "tokens", (F.col("factor") * F.col("change")).alias("factor"))
+        fitted = materialize(fitted, "cells")
+    found = fitted.select(*MARGINS, F.least(F.lit(1.0), F.col("factor")).alias("__probability"))
+    named = [F.col(m).alias(f"__{m}") for m in MARGINS]
+    out = cells.join(found, list(MARGINS), "left").withColumn("__probability", F.coalesce("__probability", F.lit(0.0)))
+    return out.select(*named, (F.col("tokens") * F.col("__probability")).alias("__weight"), "__probability")
+
+
 def draw(doc_id: str = "doc_id") -> Column:
     """A number in [0, 1) made from the id."""
     head = F.substring(F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))), 1, 8)
     return F.conv(head, 16, 10).cast("double") / F.lit(2.0**32)
 
 
-def mixed(documents: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The documents with the working columns, __weight and __probability of their cell, and __drawn."""
-    rows = described(documents, topic)
-    cells = cell_table(rows)
-    fitted = materialize(with_probabilities(rake(cells, targets or power_targets(cells))), "fitted")
+def in_cells(rows: DataFrame, fitted: DataFrame) -> DataFrame:
+    fitted = materialize(fitted, "fitted")
     side = F.broadcast(fitted) if fitted.count() <= BROADCAST_CELLS else fitted
     out = rows.join(side, [f"__{m}" for m in MARGINS])
     return out.withColumn("__drawn", draw() < F.col("__probability"))
 
 
+def mixed(documents: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None, budget: float | None = None) -> DataFrame:
+    """The documents with the working columns, __weight (expected tokens) and __probability of their cell, and __drawn."""
+    rows = described(documents, topic)
+    cells = cell_table(rows)
+    return in_cells(rows, capped_probabilities(cells, targets or power_targets(cells), budget))
+
+
 def mixture_weights(documents: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None) -> DataFrame:
     """One row per document: doc_id, topic, n_tokens, cell_weight, probability, sampled."""
-    rows = mixed(documents.select("doc_id", "text", "source", "lang"), topic, targets)
+    rows = described(documents.select("doc_id", "text", "source", "lang"), topic)
+    cells = cell_table(rows)
+    rows = in_cells(rows, with_probabilities(rake(cells, targets or power_targets(cells))))
     return rows.select(
         "doc_id", F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"), F.round("__weight", 3).alias("cell_weight"),
         F.round("__probability", 9).alias("probability"), F.col("__drawn").alias("sampled"),
     )
 
 
-def sample_mixture(documents: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def sample_mixture(documents: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None, budget: float | None = None) -> DataFrame:
     """The drawn documents, with all their columns."""
-    return mixed(documents, topic, targets).where("__drawn").select(*documents.columns)
+    return mixed(documents, topic, targets, budget).where("__drawn").select(*documents.columns)

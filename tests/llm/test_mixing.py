@@ -61,3 +61,16 @@ def test_sample_keeps_columns(spark, rows):
     out = M.sample_mixture(df)
     assert out.columns == df.columns and 0 < out.count() < df.count()
     assert M.sample_mixture(df.where("false")).count() == 0 and M.mixture_weights(df.where("doc_id = 1001")).first().sampled is False
+
+
+def test_a_small_cell_does_not_hold_the_others_down(spark):
+    rng = random.Random(4)
+    rows = [(i, "w " * rng.choice([50, 200]), rng.choice(["en", "en", "de"]), rng.choice("aab"), "x") for i in range(4000)]
+
+    def kept(more, budget=None):
+        out = M.mixed(spark.createDataFrame(rows + more, SCHEMA), budget=budget)
+        return out.agg(F.sum(F.col("__tokens") * F.col("__probability")) / F.sum("__tokens"), F.max(F.when(F.col("__lang") == "zz", F.col("__probability")))).first()
+
+    plain, small = kept([])[0], kept([(9000, "w " * 60, "zz", "a", "x")])
+    assert plain > 0.5 and small[0] == pytest.approx(plain, rel=0.02) and small[1] == pytest.approx(1, rel=0.02)
+    assert kept([], 0.3)[0] == pytest.approx(0.3, rel=0.02)
