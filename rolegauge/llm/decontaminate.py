@@ -125,6 +125,8 @@ def verified(documents: DataFrame, items: DataFrame, pairs: DataFrame, threshold
                 own = tuples(text)
                 for item in item_rows:
                     asked = tuples(item["item_text"])
+                    if not asked:  # a variant of a repeated id without shingles
+                        continue
                     shared = len(asked & own)
                     if shared >= math.ceil(threshold * len(asked) - 1e-9):
                         for name, value in (("doc_id", doc), ("item_id", item["item_id"]), ("n_shingles", len(asked)), ("n_shared", shared),

@@ -63,3 +63,11 @@ def test_documents_kept(spark, data):
     leaking = {d for d, _ in plain(docs, items)}
     assert kept.columns == df.columns and sorted(map(str, kept.collect())) == sorted(str(r) for r in df.collect() if r.doc_id not in leaking)
     assert without_leaks(df, bench.where("false")).count() == len(docs) and find_leaks(df.where("false"), bench).count() == 0
+
+
+def test_repeated_item_with_unusable_texts(spark):
+    text = "one two three four five six seven"
+    items = [(1, text), (1, None), (1, ""), (1, "only four words here"), (2, None)]
+    df = spark.createDataFrame([(10, f"before {text} after"), (11, "nothing of it at all")], "doc_id bigint, text string")
+    found = find_leaks(df, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert list(map(tuple, found)) == [(10, 1, 3, 3, 1.0)]
