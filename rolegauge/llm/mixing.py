@@ -141,7 +141,7 @@ def capped_probabilities(cells: DataFrame, targets: dict[str, DataFrame], budget
     for _ in range(CAPPED_SWEEPS):
         for margin, want in wanted.items():
             sums = fitted.groupBy(margin).agg(F.sum(used).alias("now")).join(want, margin)
-            fitted = fitted.join(sums.select(margin, (F.col("wanted") / F.col("now")).alias("change")), margin)
+            fitted = fitted.join(sums.select(margin, F.when(F.col("now") > 0, F.col("wanted") / F.col("now")).otherwise(0.0).alias("change")), margin)
             fitted = fitted.select(*MARGINS, "tokens", (F.col("factor") * F.col("change")).alias("factor"))
         fitted = materialize(fitted, "cells")
     found = fitted.select(*MARGINS, F.least(F.lit(1.0), F.col("factor")).alias("__probability"))
