@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rolegauge.llm.decontaminate import find_leaks
+from rolegauge.llm.exact_dedup import exact_groups
 from rolegauge.llm.jaccard_join import jaccard_join
 from rolegauge.llm.language import identify_languages
 from rolegauge.llm.mixing import mixture_weights
 from rolegauge.llm.mixing_sql import statement as mixing_statement
 from rolegauge.llm.passages import repeated_passages
+from rolegauge.llm.phrases import mine_phrases
+from rolegauge.llm.phrases_sql import statement as phrases_statement
 from rolegauge.llm.quality import quality_rules
 from rolegauge.llm.secret_scan import scan_secrets
 from rolegauge.llm.token_files import read_token_files, write_token_files
 from rolegauge.llm.toxicity import score_toxicity
+from rolegauge.llm.vector_codes import vector_codes
+from rolegauge.llm.vector_codes_sql import statement as vector_codes_statement
 from rolegauge.llm.warc import read_archives, write_archives
 
 
@@ -106,6 +111,26 @@ def op9_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_secrets(table(spark, folder, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes(table(spark, folder, "embeddings"))
+
+
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return mine_phrases(table(spark, folder, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_groups(table(spark, folder, "documents"), keep="largest")
+
+
+OP13_SQL = """
+WITH t AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+g AS (SELECT doc_id, body, max(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size FROM t)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(body) AS text_sha256 FROM g
+"""
+
+
 ENTRIES = {
     "op1_warc": (op1_warc, OP1_SQL),
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
@@ -117,6 +142,9 @@ ENTRIES = {
     "op8_toxicity": (op8_toxicity, None),
     "op9_secret_scan": (op9_secret_scan, None),
     "op10_quality": (op10_quality, None),
+    "op11_vector_codes": (op11_vector_codes, vector_codes_statement()),
+    "op12_phrases": (op12_phrases, phrases_statement()),
+    "op13_exact_dedup": (op13_exact_dedup, OP13_SQL),
 }
 
 
