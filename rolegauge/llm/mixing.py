@@ -1,37 +1,36 @@
 """Mixing sources to target weights by iterative proportional fitting, then sampling by calibrated probabilities.
 
-Documents are counted in cells (source, language, topic). Two calibrations share cells, targets and the draw:
-
-* `mixed` and `sample_mixture` (the pipeline) draw to a token budget. A cell's factor is a product of one number per margin value, and its
-  probability is that factor, at most 1; in every sweep the numbers are solved again for the cells below 1, so cells that are used up do
-  not hold the others down. The budget is `budget` times the live tokens if that is given, else the largest at which every value with a
-  target share of LEAST_SHARE or more can get its share. Smaller values get all they have, if that is less than their share, and the
-  other values take the rest. The expected tokens meet the budget and the targets as far as the cells allow.
-* `mixture_weights` (the registered query) is held to its SQL statement: raking with SWEEPS sweeps over all margins, and all factors
-  divided by the largest. There one small cell sets the rate of the whole corpus.
+Documents are counted in cells (source, language, topic). A cell's factor is a product of one number per margin value, and its probability
+is that factor, at most 1; in every sweep the numbers are solved again for the cells below 1, so cells that are used up do not hold the
+others down. The draw meets a token budget: `budget` times the live tokens if that is given, else the largest one at which every value with a
+target share of LEAST_SHARE or more can get its share. Smaller values get all they have, if that is less than their share, and the other
+values take the rest. The expected tokens meet the budget and the targets as far as the cells allow. The registered query, the pipeline and
+`sample_mixture` share this calibration. `rake` is the fit alone, without a cap.
 
 A document is drawn if a number between 0 and 1 made from the MD5 of its id lies below the probability: the same id is always treated
 alike, and repeated rows go together.
 
-DataFrame functions only. Sums are aggregated before any shuffle, so a hot source is no hot task; documents meet the cells in a broadcast
-while there are at most BROADCAST_CELLS of them (three short strings and a number each), in a plain join beyond.
+DataFrame functions only. Sums are aggregated before any shuffle, so a hot source is no hot task. A sweep is a window over each margin of
+the cells; SWEEPS_AT_ONCE sweeps are one plan, and cells are spread over one partition for each CELLS_AT_ONCE of them: while there is one, its
+sweeps need no shuffle. Per margin only sums reach the driver. Written intermediate tables are removed when the next one is there.
 
 A null source, language or topic is the value NONE. Null and empty texts have no tokens; they are drawn like the rest of their cell, and
 a cell without tokens is never drawn. A margin value that the targets do not name gets a share of 0; targets without data are left out
-and the rest scaled to 1. Extra columns stay in `sample_mixture` and are not read otherwise. An empty table gives no rows.
+and the rest scaled to 1. All columns stay in `sample_mixture`, whatever their names, and are not read otherwise. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rolegauge.storage import materialize
+from rolegauge.storage import materialize, remove
 
-SWEEPS = 10
-CAPPED_SWEEPS = 20
+SWEEPS, SWEEPS_AT_ONCE = 15, 5
+CELLS_AT_ONCE = 1_000_000
 LEAST_SHARE = 0.01
-BROADCAST_CELLS = 100_000
 NONE = "(none)"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Target shares of the registered query: tokens of each value to these powers.
@@ -67,83 +66,102 @@ def described(documents: DataFrame, topic: Column | None = None) -> DataFrame:
 
 def cell_table(rows: DataFrame) -> DataFrame:
     named = [F.col(f"__{m}").alias(m) for m in MARGINS]
-    sums = rows.groupBy(*named).agg(F.sum("__tokens").cast("double").alias("tokens"))
-    return materialize(sums.withColumn("weight", F.col("tokens")), "cells")
-
+    return materialize(rows.groupBy(*named).agg(F.sum("__tokens").cast("double").alias("tokens")), "cells")
 
-def power_targets(cells: DataFrame, powers: dict[str, float] = POWERS) -> dict[str, DataFrame]:
-    """Share of each value: its tokens to a power below 1, which lifts small values."""
-    return {m: cells.groupBy(m).agg(F.pow(F.sum("tokens"), F.lit(power)).alias("share")) for m, power in powers.items()}
 
+def margin_sums(cells: DataFrame, margins: list[str]) -> DataFrame:
+    """(margin, value, own): the tokens of each value."""
+    values = F.array(*[F.struct(F.lit(m).alias("margin"), F.col(m).alias("value")) for m in margins])
+    rows = cells.where("tokens > 0").select(F.explode(values).alias("v"), "tokens")
+    return rows.groupBy("v.margin", "v.value").agg(F.sum("tokens").alias("own"))
 
-def normalised(cells: DataFrame, margin: str, target: DataFrame) -> DataFrame:
-    """(value, share) for the values with tokens; the shares add up to 1."""
-    live = cells.where("tokens > 0").select(margin).distinct().join(target.select(margin, "share"), margin)
-    whole = live.agg(F.sum("share")).first()[0] or 1.0
-    return live.withColumn("share", F.col("share") / F.lit(whole))
-
-
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
-    """The cells with fitted weights. Each sweep is written to the shared folder, so the plan stays short."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0.0
-    shares = {m: materialize(normalised(cells, m, t), f"target-{m}") for m, t in targets.items()}
-    for _ in range(sweeps):
-        for margin, share in shares.items():
-            sums = cells.groupBy(margin).agg(F.sum("weight").alias("now")).join(share, margin, "left")
-            factor = F.when(F.col("now") > 0, F.coalesce("share", F.lit(0.0)) * F.lit(total) / F.col("now")).otherwise(0.0)
-            cells = cells.join(sums, margin).select(*MARGINS, "tokens", (F.col("weight") * factor).alias("weight"))
-        cells = materialize(cells, "cells")
-    return cells
-
-
-def with_probabilities(cells: DataFrame) -> DataFrame:
-    """(__source, __lang, __topic, weight, probability) of each cell."""
-    factor = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    largest = cells.agg(F.max(factor)).first()[0] or 1.0
-    named = [F.col(m).alias(f"__{m}") for m in MARGINS]
-    return cells.select(*named, F.col("weight").alias("__weight"), (factor / F.lit(max(1.0, largest))).alias("__probability"))
 
+def by_margin(values: dict[str, float]) -> Column:
+    """The number of the row's margin."""
+    return F.coalesce(*[F.when(F.col("margin") == m, F.lit(float(x))) for m, x in values.items()], F.lit(0.0))
 
-def token_budget(cells: DataFrame, shares: dict[str, DataFrame]) -> float:
-    """The most tokens at which each value with LEAST_SHARE or more has enough of them."""
-    limits = [cells.agg(F.sum("tokens")).first()[0] or 0.0]
-    for margin, share in shares.items():
-        sums = cells.groupBy(margin).agg(F.sum("tokens").alias("own")).join(share, margin).where(F.col("share") >= LEAST_SHARE)
-        limits.append(sums.agg(F.min(F.col("own") / F.col("share"))).first()[0])
-    return min(x for x in limits if x is not None)
 
-
-def filled(cells: DataFrame, margin: str, share: DataFrame, asked: float) -> DataFrame:
-    """(value, wanted): tokens by share, at most all that a value has; what it lacks goes to the other values."""
-    sums = materialize(cells.groupBy(margin).agg(F.sum("tokens").alias("own")).join(share, margin), f"wanted-{margin}")
-    level = asked
-    while True:
-        over = F.col("share") * F.lit(level) >= F.col("own")
-        whole, left = sums.agg(F.sum(F.when(over, F.col("own"))), F.sum(F.when(~over, F.col("share")))).first()
-        after = (asked - (whole or 0.0)) / left if left else level
-        if after <= level * (1 + 1e-9):
-            return sums.select(margin, F.least(F.col("share") * F.lit(level), F.col("own")).alias("wanted"))
-        level = after
+def power_targets(cells: DataFrame, powers: dict[str, float] = POWERS) -> dict[str, DataFrame]:
+    """Share of each value: its tokens to a power below 1, which lifts small values."""
+    return {m: cells.groupBy(m).agg(F.pow(F.sum("tokens"), F.lit(power)).alias("share")) for m, power in powers.items()}
 
 
-def capped_probabilities(cells: DataFrame, targets: dict[str, DataFrame], budget: float | None = None) -> DataFrame:
-    """(__source, __lang, __topic, weight, probability) of each cell, calibrated to a token budget with probabilities of at most 1."""
-    live = cells.where("tokens > 0")
+def targeted(cells: DataFrame, targets: dict[str, DataFrame] | None) -> tuple[DataFrame, DataFrame]:
+    """The cells with tokens and a share in every margin, and (margin, value, own, share) of the values they have."""
+    margins = list(targets or POWERS)
+    live = cells.where("tokens > 0").select(*MARGINS, "tokens")
+    if targets is None:
+        return live, margin_sums(live, margins).withColumn("share", F.pow("own", by_margin(POWERS)))
     for margin, target in targets.items():  # a value without a share takes its cells out
         live = live.join(target.where("share > 0").select(margin), margin, "left_semi")
-    live = materialize(live.select(*MARGINS, "tokens", F.lit(1.0).alias("factor")), "cells")
-    shares = {m: materialize(normalised(live, m, t), f"target-{m}") for m, t in targets.items()}
-    total = live.agg(F.sum("tokens")).first()[0] or 0.0
-    asked = token_budget(live, shares) if budget is None else min(1.0, budget) * total
-    wanted = {m: materialize(filled(live, m, share, asked), f"target-{m}") for m, share in shares.items()}
-    fitted = live.withColumn("factor", F.lit(asked / total if total else 0.0))
-    used = F.col("tokens") * F.least(F.lit(1.0), F.col("factor"))
-    for _ in range(CAPPED_SWEEPS):
-        for margin, want in wanted.items():
-            sums = fitted.groupBy(margin).agg(F.sum(used).alias("now")).join(want, margin)
-            fitted = fitted.join(sums.select(margin, F.when(F.col("now") > 0, F.col("wanted") / F.col("now")).otherwise(0.0).alias("change")), margin)
-            fitted = fitted.select(*MARGINS, "tokens", (F.col("factor") * F.col("change")).alias("factor"))
-        fitted = materialize(fitted, "cells")
+    live = materialize(live.select(*MARGINS, "tokens"), "cells")
+    shares = [t.select(F.lit(m).alias("margin"), F.col(m).alias("value"), F.col("share").cast("double").alias("share")) for m, t in targets.items()]
+    named = shares[0]
+    for more in shares[1:]:
+        named = named.union(more)
+    return live, margin_sums(live, margins).join(named, ["margin", "value"])
+
+
+def wanted_tokens(sides: DataFrame, budget: float | None) -> tuple[DataFrame, float]:
+    """(margin, value, wanted) and the share of all tokens that is asked for: tokens by share, at most all that a value has; what it lacks goes
+    to the other values of the margin."""
+    sides = materialize(sides, "margins")
+    whole = {r.margin: r for r in sides.groupBy("margin").agg(F.sum("share").alias("share"), F.sum("own").alias("own")).collect()}
+    if not whole:
+        return sides.select("margin", "value", F.col("own").alias("wanted")), 0.0
+    total = max(r.own for r in whole.values())
+    sides = sides.withColumn("share", F.col("share") / by_margin({m: r.share for m, r in whole.items()}))
+    if budget is None:
+        most = sides.where(F.col("share") >= LEAST_SHARE).agg(F.min(F.col("own") / F.col("share"))).first()[0]
+        asked = total if most is None else min(total, most)
+    else:
+        asked = min(1.0, budget) * total
+    level = dict.fromkeys(whole, asked)
+    over = lambda: F.col("share") * by_margin(level) >= F.col("own")
+    while True:
+        state = sides.groupBy("margin").agg(F.sum(F.when(over(), F.col("own"))).alias("used"), F.sum(F.when(~over(), F.col("share"))).alias("open")).collect()
+        after = {r.margin: (asked - (r.used or 0.0)) / r.open if r.open else level[r.margin] for r in state}
+        if all(after[m] <= level[m] * (1 + 1e-9) for m in level):
+            break
+        level = {m: max(level[m], after[m]) for m in level}
+    return sides.select("margin", "value", F.least(F.col("share") * by_margin(level), F.col("own")).alias("wanted")), asked / total
+
+
+def swept(cells: DataFrame, wanted: DataFrame, margins: list[str], begin: float, sweeps: int, cap: bool) -> DataFrame:
+    """The cells with their factor. Each sweep gives the values of every margin the tokens they want."""
+    for m in margins:
+        own = wanted.where(F.col("margin") == m).select(F.col("value").alias(m), F.col("wanted").alias(f"wanted_{m}"))
+        cells = cells.join(own, m)
+    cells = materialize(cells.withColumn("factor", F.lit(float(begin))), "cells")
+    spread = max(1, math.ceil(cells.count() / CELLS_AT_ONCE))
+    for done in range(0, sweeps, SWEEPS_AT_ONCE):
+        after = cells.repartition(spread, margins[0])
+        for _ in range(min(SWEEPS_AT_ONCE, sweeps - done)):
+            for m in margins:
+                used = F.col("tokens") * (F.least(F.lit(1.0), F.col("factor")) if cap else F.col("factor"))
+                after = after.withColumn("now", F.sum(used).over(Window.partitionBy(m)))
+                after = after.withColumn("factor", F.col("factor") * F.when(F.col("now") > 0, F.col(f"wanted_{m}") / F.col("now")).otherwise(0.0))
+        after = materialize(after.drop("now"), "cells")
+        remove(cells)
+        cells = after
+    return cells.select(*MARGINS, "tokens", "factor")
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS) -> DataFrame:
+    """The cells with weights fitted to the targets: as many tokens as there are, without a cap on what a cell gives."""
+    live, sides = targeted(cells, targets)
+    sides = materialize(sides, "margins")
+    whole = {r.margin: r for r in sides.groupBy("margin").agg(F.sum("share").alias("share"), F.sum("own").alias("own")).collect()}
+    wanted = sides.select("margin", "value", (F.col("share") * by_margin({m: r.own / r.share for m, r in whole.items()})).alias("wanted"))
+    fitted = swept(live, wanted, list(targets or POWERS), 1.0, sweeps, cap=False)
+    return fitted.select(*MARGINS, "tokens", (F.col("tokens") * F.col("factor")).alias("weight"))
+
+
+def capped_probabilities(cells: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float | None = None) -> DataFrame:
+    """(__source, __lang, __topic, weight, probability) of each cell, calibrated to a token budget with probabilities of at most 1."""
+    live, sides = targeted(cells, targets)
+    wanted, begin = wanted_tokens(sides, budget)
+    fitted = swept(live, wanted, list(targets or POWERS), begin, SWEEPS, cap=True)
     found = fitted.select(*MARGINS, F.least(F.lit(1.0), F.col("factor")).alias("__probability"))
     named = [F.col(m).alias(f"__{m}") for m in MARGINS]
     out = cells.join(found, list(MARGINS), "left").withColumn("__probability", F.coalesce("__probability", F.lit(0.0)))
@@ -156,25 +174,17 @@ def draw(doc_id: str = "doc_id") -> Column:
     return F.conv(head, 16, 10).cast("double") / F.lit(2.0**32)
 
 
-def in_cells(rows: DataFrame, fitted: DataFrame) -> DataFrame:
-    fitted = materialize(fitted, "fitted")
-    side = F.broadcast(fitted) if fitted.count() <= BROADCAST_CELLS else fitted
-    out = rows.join(side, [f"__{m}" for m in MARGINS])
-    return out.withColumn("__drawn", draw() < F.col("__probability"))
-
-
 def mixed(documents: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None, budget: float | None = None) -> DataFrame:
     """The documents with the working columns, __weight (expected tokens) and __probability of their cell, and __drawn."""
     rows = described(documents, topic)
-    cells = cell_table(rows)
-    return in_cells(rows, capped_probabilities(cells, targets or power_targets(cells), budget))
+    fitted = materialize(capped_probabilities(cell_table(rows), targets, budget), "fitted")
+    return rows.join(fitted, [f"__{m}" for m in MARGINS]).withColumn("__drawn", draw() < F.col("__probability"))
 
 
-def mixture_weights(documents: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """One row per document: doc_id, topic, n_tokens, cell_weight, probability, sampled."""
-    rows = described(documents.select("doc_id", "text", "source", "lang"), topic)
-    cells = cell_table(rows)
-    rows = in_cells(rows, with_probabilities(rake(cells, targets or power_targets(cells))))
+def mixture_weights(documents: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None, budget: float | None = None) -> DataFrame:
+    """One row per document: doc_id, topic, n_tokens, cell_weight (expected tokens of its cell), probability, sampled."""
+    own = [documents[c] for c in ("doc_id", "text", "source", "lang")]
+    rows = mixed(documents.select(*own, *([topic.alias("__own")] if topic is not None else [])), None if topic is None else F.col("__own"), targets, budget)
     return rows.select(
         "doc_id", F.col("__topic").alias("topic"), F.col("__tokens").alias("n_tokens"), F.round("__weight", 3).alias("cell_weight"),
         F.round("__probability", 9).alias("probability"), F.col("__drawn").alias("sampled"),
@@ -183,4 +193,7 @@ def mixture_weights(documents: DataFrame, topic: Column | None = None, targets:
 
 def sample_mixture(documents: DataFrame, topic: Column | None = None, targets: dict[str, DataFrame] | None = None, budget: float | None = None) -> DataFrame:
     """The drawn documents, with all their columns."""
-    return mixed(documents, topic, targets, budget).where("__drawn").select(*documents.columns)
+    own = [documents[c] for c in ("doc_id", "text", "source", "lang")]
+    whole = F.struct(*[documents[c] for c in documents.columns]).alias("__row")
+    rows = documents.select(*own, whole, *([topic.alias("__own")] if topic is not None else []))
+    return mixed(rows, None if topic is None else F.col("__own"), targets, budget).where("__drawn").select("__row.*")

@@ -74,3 +74,38 @@ def test_a_small_cell_does_not_hold_the_others_down(spark):
     plain, small = kept([])[0], kept([(9000, "w " * 60, "zz", "a", "x")])
     assert plain > 0.5 and small[0] == pytest.approx(plain, rel=0.02) and small[1] == pytest.approx(1, rel=0.02)
     assert kept([], 0.3)[0] == pytest.approx(0.3, rel=0.02)
+
+
+def test_the_query_shares_the_calibration(spark):
+    """One tiny cell leaves the rate of all others as it is, in the registered query too."""
+    rng = random.Random(4)
+    rows = [(i, "w " * rng.choice([50, 200]), rng.choice(["en", "en", "de"]), rng.choice("aab"), "x") for i in range(2000)]
+
+    def rates(more):
+        out = M.mixture_weights(spark.createDataFrame(rows + more, SCHEMA))
+        return {r.doc_id: r.probability for r in out.collect()}
+
+    plain, small = rates([]), rates([(9000, "w " * 60, "zz", "a", "x")])
+    assert small.pop(9000) > 0.95 and all(small[i] == pytest.approx(p, rel=0.05) for i, p in plain.items())
+
+
+def test_few_jobs(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    spark.sparkContext.setJobGroup("mixing", "")
+    M.mixture_weights(df).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("mixing")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 30
+
+
+def test_columns_with_the_names_of_working_columns_stay(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"__tokens": F.lit("mine"), "__source": F.col("doc_id"), "__row": F.lit(3)})
+    out = M.sample_mixture(df)
+    assert out.columns == df.columns and {(r["__tokens"], r["__source"] == r.doc_id, r["__row"]) for r in out.where("doc_id is not null").collect()} == {("mine", True, 3)}
+
+
+def test_cells_in_several_partitions_and_long_texts(spark, rows, monkeypatch):
+    df = spark.createDataFrame([*rows, (2000, "w " * 300_000, "en", "hot", "x")], SCHEMA)
+    one = {(r.doc_id, r.probability) for r in M.mixture_weights(df).collect()}
+    monkeypatch.setattr(M, "CELLS_AT_ONCE", 5)
+    assert {(r.doc_id, r.probability) for r in M.mixture_weights(df).collect()} == one
