@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rolegauge.llm.batches import map_texts
 from rolegauge.llm.buckets import Forest, dealt, in_units, units
@@ -165,8 +166,9 @@ def linked(members: DataFrame, threshold: float) -> DataFrame:
     return in_units(members).select("key", "low", "high", "rep", "own", "shingles", "signature").mapInArrow(run, FOUND)
 
 
-def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: doc_id, class_id, n_copies, n_links, group_id."""
+def found_classes(documents: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest) of the rows, and for each class (__d, its digest): class_id, n_copies, n_links, group_id, and keeper, which is true for
+    one class of each group. Groups are those of digests: rows that share an id and have other texts tie nothing together."""
     known = materialize(described(documents), "signatures")
     full = known.where("digest is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep_id"), F.count("*").alias("n_copies"))
@@ -179,25 +181,57 @@ def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
     sets = materialize(with_sets(documents, involved), "sets").dropDuplicates(["rep"])
     ties = materialize(linked(members.join(sets, "rep"), threshold), "links")
     counts = ties.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
-    ids = classes.select(F.col("digest").alias("rep"), F.col("rep_id"))
-    named = ties.join(ids, "rep").join(ids.select(F.col("rep").alias("root"), F.col("rep_id").alias("root_id")), "root")
-    groups = components(named.select("rep_id", "root_id"), "rep_id", "root_id")
-    out = classes.join(counts.withColumnRenamed("rep", "digest"), "digest", "left").join(groups.withColumnRenamed("node", "rep_id"), "rep_id", "left")
+    groups = components(ties.select("rep", "root"), "rep", "root").withColumnRenamed("node", "digest")
+    named = groups.join(classes, "digest").groupBy("component").agg(
+        F.min("rep_id").alias("least_id"), F.min_by("digest", F.struct(F.col("rep_id").isNull(), "rep_id", "digest")).alias("kept")
+    )
+    out = classes.join(counts.withColumnRenamed("rep", "digest"), "digest", "left").join(groups, "digest", "left").join(named, "component", "left")
     out = out.select(
         F.col("digest").alias("__d"), F.col("rep_id").alias("class_id"), "n_copies", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        F.coalesce("component", "rep_id").alias("group_id"),
+        F.coalesce("least_id", "rep_id").alias("group_id"), (F.coalesce("kept", "digest") == F.col("digest")).alias("keeper"),
     )
-    rows = known.select("doc_id", "digest").join(out, F.col("digest") == F.col("__d"), "left")
+    return known.select("doc_id", "digest"), out
+
+
+def jaccard_join(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, class_id, n_copies, n_links, group_id."""
+    known, classes = found_classes(documents, threshold)
+    rows = known.join(classes, F.col("digest") == F.col("__d"), "left")
     return rows.select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_copies", F.lit(1)).cast("bigint").alias("n_copies"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("group_id", "doc_id").alias("group_id"),
     )
 
 
+def with_digests(documents: DataFrame) -> DataFrame:
+    """The documents with the column __digest, null for texts without words."""
+    place, types = documents.columns.index("text"), T.StructType([*documents.schema.fields, T.StructField("__digest", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(text or "") for text in batch.column(place).to_pylist()]
+            digests = pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, digests], names=[*batch.schema.names, "__digest"])
+
+    return documents.mapInArrow(run, types)
+
+
 def keep_one_of_each_group(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents without those that have an earlier one in their group. Of repeated rows of a kept id, one stays. Texts without words
-    and rows without an id stay as they are."""
-    found = jaccard_join(documents, threshold)
-    kept = materialize(found.where("doc_id = group_id").select(F.col("doc_id").alias("__id")).distinct(), "kept")
-    named = documents.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(documents.where("doc_id is null"))
+    """The documents without those that have another one in their group: the row with the smallest id stays. Of rows that repeat the id and the
+    shingles of the row that stays, one does; rows that share its id and have other shingles are judged by their own group. Texts without
+    words stay (one row for each id), and so do rows without an id."""
+    known, classes = found_classes(documents, threshold)
+    rows = known.where("doc_id is not null").join(classes, F.col("digest") == F.col("__d"), "left")
+    rows = rows.withColumn("stays", F.coalesce(F.col("keeper") & (F.col("doc_id") == F.col("class_id")), F.col("digest").isNull()))
+    stays = materialize(rows.where("stays").select("doc_id", F.coalesce("digest", F.lit(b"")).alias("digest")), "kept")
+    # Rows whose id stands there once need no digest of their own.
+    ids = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("stays").alias("any")).where("any")
+    ids = materialize(ids.select(F.col("doc_id").alias("__id"), (F.col("n") == 1).alias("__once")), "kept-ids")
+    columns = [documents[c] for c in documents.columns]
+    named = documents.join(ids, documents["doc_id"] == F.col("__id"))
+    single = named.where("__once").select(*columns)
+    pairs = stays.select(F.col("doc_id").alias("__kept_id"), F.col("digest").alias("__kept")).distinct()
+    several = with_digests(named.where(~F.col("__once")).select(*columns, "__id"))
+    several = several.join(pairs, (F.col("__id") == F.col("__kept_id")) & (F.coalesce("__digest", F.lit(b"")) == F.col("__kept")), "left_semi")
+    several = several.dropDuplicates(["__id", "__digest"]).select(*documents.columns)
+    return single.unionByName(several).unionByName(documents.where("doc_id is null"))

@@ -89,6 +89,19 @@ def test_empty_and_null_ids(spark):
     assert J.keep_one_of_each_group(df).count() == 3
 
 
+def test_rows_that_share_an_id_lose_no_text(spark):
+    """Texts A and B under id 1, B under id 2 too, a near copy of A under 3: A and one B stay."""
+    rng = random.Random(3)
+    a, b = ([f"{x}{rng.randrange(10**6)}" for _ in range(60)] for x in "ab")
+    near = " ".join([*a[:-1], "other"])
+    rows = [(1, " ".join(a), 1), (1, " ".join(b), 2), (2, " ".join(b), 3), (3, near, 4), (1, " ".join(a), 5), (4, None, 6), (4, "", 7), (4, " ".join(b), 8), (None, " ".join(a), 9)]
+    kept = J.keep_one_of_each_group(spark.createDataFrame(rows, "doc_id bigint, text string, digest int"))
+    got = sorted((str(r.doc_id), r.text or "") for r in kept.collect())
+    assert got == sorted([("1", " ".join(a)), ("1", " ".join(b)), ("4", ""), ("None", " ".join(a))])
+    found = {(r.doc_id, r.class_id, r.group_id) for r in J.jaccard_join(spark.createDataFrame(rows, "doc_id bigint, text string, digest int")).collect()}
+    assert (3, 3, 1) in found and (2, 1, 1) in found
+
+
 def test_pruning_bound():
     least = J.least_equal(0.8, 1e-6, 16, 96)
     assert least == sorted(least) and 0 < least[0] < 16 * 0.8
