@@ -9,10 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def dealt(rows: DataFrame, member: str, block: int) -> DataFrame:
-    """(key, low, high, member, own): the members of every bucket `key` with two or more rows. A bucket of n members has
-    ceil(n / block) blocks; each pair of blocks, and each block with itself, is a unit (key, low, high). `own` is the member's block."""
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+def different_buckets(rows: DataFrame, member: str, band: str) -> DataFrame:
+    """(key, n) of the buckets with two or more members, without those that have the same members as a bucket of an earlier band: near copies
+    meet in most bands, and one meeting is enough. Member sets are told apart by their size and 128 bits."""
+    marks = [F.bit_xor(F.xxhash64(member, F.lit(seed))).alias(f"mark{seed}") for seed in range(2)]
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min(band).alias("band"), *marks).where("n > 1")
+    return sizes.groupBy("n", "mark0", "mark1").agg(F.min_by("key", F.struct("band", "key")).alias("key")).select("key", "n")
+
+
+def dealt(rows: DataFrame, member: str, block: int, sizes: DataFrame | None = None) -> DataFrame:
+    """(key, low, high, member, own): the members of every bucket `key` with two or more rows, or of those in `sizes` (key, n). A bucket of n
+    members has ceil(n / block) blocks; each pair of blocks, and each block with itself, is a unit (key, low, high). `own` is the member's
+    block."""
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1") if sizes is None else sizes
     blocks = rows.join(sizes, "key").select("key", member, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64(member), F.col("blocks")).cast("int")
     blocks = blocks.select("key", member, own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))

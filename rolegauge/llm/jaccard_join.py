@@ -2,7 +2,7 @@
 
 1. One pass computes, for each document, the digest of its set of five-word shingles, a MinHash signature and band keys.
 2. Documents with equal sets form a class; only the class's representative (smallest doc_id) goes on.
-3. Representatives that share a band key are candidates. A bucket is split into blocks of BLOCK members, and a task gets two blocks at a
+3. Representatives that share a band key are candidates. Buckets with the same members as one of an earlier band are left out. A bucket is split into blocks of BLOCK members, and a task gets two blocks at a
    time: no bucket is one task's work, and no pair is a row.
 4. In the task, a pair is looked at in the first band it shares. Its signatures are compared STEP values at a time. With a uniform prior
    the similarity after m equal values of n follows Beta(m + 1, n - m + 1); the pair is dropped as soon as the probability of reaching
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rolegauge.llm.batches import map_texts
-from rolegauge.llm.buckets import Forest, dealt, in_units, units
+from rolegauge.llm.buckets import Forest, dealt, different_buckets, in_units, units
 from rolegauge.llm.components import components
 from rolegauge.llm.shingles import MinHasher, band_keys, shingles
 from rolegauge.storage import materialize
@@ -78,9 +78,10 @@ def described(documents: DataFrame) -> DataFrame:
 
 
 def block_members(reps: DataFrame) -> DataFrame:
-    """(key, low, high, rep): for each bucket of two or more, its members dealt to pairs of blocks."""
-    rows = reps.select(F.col("digest").alias("rep"), F.explode("keys").alias("key"))
-    return dealt(rows, "rep", BLOCK)
+    """(key, low, high, rep): for each bucket of two or more, its members dealt to pairs of blocks. The first band that a pair shares is
+    among the bands whose buckets are kept: a bucket goes only if an earlier band has the same members."""
+    rows = reps.select(F.col("digest").alias("rep"), F.posexplode("keys").alias("band", "key"))
+    return dealt(rows, "rep", BLOCK, different_buckets(rows, "rep", "band"))
 
 
 def with_sets(documents: DataFrame, reps: DataFrame) -> DataFrame:
