@@ -1,8 +1,12 @@
 """Documents against a whole role catalog.
 
-The catalog becomes one table of postings: (kind, term) -> role, where a term is either an entry of the role's term
-vector or one of its keywords. Every document is exploded into its own terms and keyword hits, joined with the
-postings and summed per (document, role): no cross join, no pair that shares nothing.
+A pair is kept for a keyword in the text, or for a similarity of LEAST_SIMILARITY or more. So a role is filed under its keywords and under a
+prefix of its term vector: its terms from rare to common in the catalog, until the rest of the vector is shorter than
+LEAST_SIMILARITY of the whole. A document that has no term of the prefix can reach no more than the rest, which is too little: no kept pair
+is missed, and common terms bring no pairs. Only terms of at least one role in COMMON stand behind a prefix; there are at most COMMON times
+the mean length of a vector of them, however large the catalog is. Every document is exploded into its other terms and keyword hits and
+joined with the postings, which gives the pairs and the prefix part of their dot products; the common terms are added inside the row of
+a pair found so.
 
 `prepare` writes the postings once, for any number of batches. One plan serves any catalog: the joins carry no hint, Spark
 broadcasts the written table while its size in bytes allows and shuffles both sides beyond that. Keywords are found by one
@@ -18,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rolegauge.functions.columns import clip_percent, first
+from rolegauge.functions.columns import clip_percent, first, let, words
 from rolegauge.functions.terms import cosine_of, skills, squared_norm, term_vector, tokens, weighted_bag
 from rolegauge.functions.text import normalize, prefix_tree
 from rolegauge.lexicon import DEFAULT, Lexicon
@@ -32,6 +36,10 @@ MASK_BITS = 62
 # Fixed limits and weights of the match.
 KEYWORD_SHARE, TERM_SHARE, THRESHOLD = 0.55, 0.45, 0.18
 TOP_MATCHES, MOST_MISSING = 5, 5
+LEAST_SIMILARITY = THRESHOLD / TERM_SHARE
+#: The bound is lowered by this share, far more than the rounding of a similarity.
+ROUNDING = 1e-9
+COMMON = 20
 
 
 def role_vectors(catalog: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
@@ -63,9 +71,26 @@ def keyword_postings(roles: DataFrame) -> DataFrame:
     return prefixes.join(placed, "keyword").select("term", "job_id", "place")
 
 
+def with_rest(roles: DataFrame) -> DataFrame:
+    """Roles with ``prefix`` and ``rest``: the terms of which a similar document must share at least one, and the more common others."""
+    entries = roles.select("job_id", "job_squared", F.explode("vector").alias("t")).select("job_id", "job_squared", "t.term", "t.weight")
+    spread = entries.groupBy("term").agg(F.count("*").alias("n_roles"))
+    common_first = Window.partitionBy("job_id").orderBy(F.desc("n_roles"), F.desc("term"))
+    length = F.sum(F.col("weight") * F.col("weight")).over(common_first.rowsBetween(Window.unboundedPreceding, 0))
+    bound = LEAST_SIMILARITY * LEAST_SIMILARITY * (1 - ROUNDING)
+    enough = F.col("n_roles") * COMMON >= F.lit(roles.count())
+    placed = entries.join(spread, "term").withColumn("behind", (length < F.col("job_squared") * bound) & enough)
+    entry = F.struct("term", "weight")
+    split = placed.groupBy("job_id").agg(
+        F.collect_list(F.when(~F.col("behind"), entry)).alias("prefix"), F.collect_list(F.when(F.col("behind"), entry)).alias("rest")
+    )
+    none = F.array().cast("array<struct<term:string,weight:bigint>>")
+    return roles.join(split, "job_id", "left").withColumns({name: F.coalesce(name, none) for name in ("prefix", "rest")})
+
+
 def postings(roles: DataFrame, n_masks: int) -> DataFrame:
-    """Term and keyword postings in one table; keyword places are bits of ``n_masks`` numbers."""
-    by_term = roles.select("job_id", F.explode("vector").alias("t")).select(
+    """Prefix terms and keywords of the roles in one table; keyword places are bits of ``n_masks`` numbers."""
+    by_term = roles.select("job_id", F.explode("prefix").alias("t")).select(
         F.lit(0).alias("kind"), F.col("t.term").alias("term"), "job_id", F.col("t.weight").alias("job_weight"),
         *[F.lit(0).cast("bigint").alias(f"mask{m}") for m in range(n_masks)],
     )
@@ -90,19 +115,21 @@ class Prepared:
 
     roles: DataFrame
     postings: DataFrame
+    common: list[str]
     n_masks: int
     pattern: str | None
     lex: Lexicon
 
 
 def prepare(catalog: DataFrame, lex: Lexicon = DEFAULT) -> Prepared:
-    roles = materialize(role_vectors(catalog, lex), "roles")
+    roles = materialize(with_rest(materialize(role_vectors(catalog, lex), "role-vectors")), "roles")
     longest = roles.agg(F.coalesce(F.max(F.size("keywords")), F.lit(0))).first()[0]
     masks = max(1, math.ceil(longest / MASK_BITS))
     known = roles.select(F.explode("keywords").alias("keyword")).distinct()
     chars = known.agg(F.coalesce(F.sum(F.length("keyword")), F.lit(0))).first()[0]
     pattern = prefix_tree(row[0] for row in known.toLocalIterator()) if 0 < chars <= PATTERN_CHARS else None
-    return Prepared(roles, materialize(postings(roles, masks), "postings"), masks, pattern, lex)
+    common = sorted(row[0] for row in roles.select(F.explode("rest.term").alias("term")).distinct().collect())
+    return Prepared(roles, materialize(postings(roles, masks), "postings"), common, masks, pattern, lex)
 
 
 def by_pattern(docs: DataFrame, pattern: str) -> DataFrame:
@@ -126,8 +153,9 @@ def by_first_signs(docs: DataFrame, roles: DataFrame) -> DataFrame:
     return docs.join(hits, "doc_id", "left").withColumn("hits", F.coalesce("hits", F.array().cast("array<string>")))
 
 
-def catalog_scores(docs: DataFrame, ready: Prepared) -> DataFrame:
-    """Scores of all kept (document, role) pairs; ``docs`` needs ``doc_id, text, vector, doc_squared``."""
+def candidates(docs: DataFrame, ready: Prepared) -> DataFrame:
+    """``doc_id, doc_squared, job_id``, the dot product over prefix terms and the keyword masks of the pairs that share a keyword or a
+    prefix term."""
     narrow = docs.select("doc_id", "text", "vector", "doc_squared")
     with_hits = by_pattern(narrow, ready.pattern) if ready.pattern else by_first_signs(narrow, ready.roles)
 
@@ -138,19 +166,38 @@ def catalog_scores(docs: DataFrame, ready: Prepared) -> DataFrame:
         F.transform("vector", lambda t: entry(0, t["term"], t["weight"])),
         F.transform("hits", lambda h: entry(1, h, F.lit(0).cast("bigint"))),
     )
-    masks = [f"mask{m}" for m in range(ready.n_masks)]
-    pairs = (
+    return (
         with_hits.select("doc_id", "doc_squared", F.explode(entries).alias("e"))
         .select("doc_id", "doc_squared", "e.kind", "e.term", "e.weight")
         .join(ready.postings, ["kind", "term"])
         .groupBy("doc_id", "doc_squared", "job_id")
-        .agg(F.sum(F.col("weight") * F.col("job_weight")).alias("dot"), *[F.bit_or(m).alias(m) for m in masks])
+        .agg(F.sum(F.col("weight") * F.col("job_weight")).alias("dot"), *[F.bit_or(f"mask{m}").alias(f"mask{m}") for m in range(ready.n_masks)])
     )
-    sizes = ready.roles.select("job_id", "job_squared", F.size("keywords").alias("n_keywords"))
+
+
+def common_weights(docs: DataFrame, ready: Prepared) -> DataFrame:
+    """``doc_id, common``: the document's weight of each common term, 0 where it has none."""
+    own = F.filter("vector", lambda t: t["term"].isin(ready.common))
+    zero = F.lit(0).cast("bigint")
+    weights = let(F.map_from_entries(own), lambda m: F.transform(words(ready.common), lambda t: F.coalesce(F.try_element_at(m, t), zero)))
+    return docs.select("doc_id", weights.alias("common"))
+
+
+def catalog_scores(docs: DataFrame, ready: Prepared) -> DataFrame:
+    """Scores of all kept (document, role) pairs; ``docs`` needs ``doc_id, text, vector, doc_squared``."""
+    masks = [f"mask{m}" for m in range(ready.n_masks)]
+    place = lambda t: (F.array_position(words(ready.common), t["term"]) - 1).cast("int").alias("place")
+    behind = F.transform("rest", lambda t: F.struct(place(t), t["weight"].alias("weight")))
+    sizes = ready.roles.select("job_id", behind.alias("rest"), "job_squared", F.size("keywords").alias("n_keywords"))
     n_matched = sum((F.bit_count(m) for m in masks), F.lit(0))
     ratio = F.col("n_matched") / F.greatest("n_keywords", F.lit(1))
+    pairs = candidates(docs, ready).join(common_weights(docs, ready), "doc_id").join(sizes, "job_id")
+    zero = F.lit(0).cast("bigint")
+    behind = F.aggregate("rest", zero, lambda total, t: total + t["weight"] * F.get("common", t["place"]))
+    # A generated column is computed once; a plain one would be computed again in the filter.
+    whole = F.explode(F.array(F.col("dot") + behind))
     return (
-        pairs.join(sizes, "job_id")
+        pairs.select("doc_id", "doc_squared", "job_id", "job_squared", "n_keywords", *masks, whole.alias("dot"))
         .withColumn("n_matched", n_matched)
         .withColumn("similarity", cosine_of(F.col("dot"), F.col("doc_squared"), F.col("job_squared")))
         .withColumn("combined", ratio * KEYWORD_SHARE + F.col("similarity") * TERM_SHARE)

@@ -1,5 +1,7 @@
 """Scores and matching on texts written for these tests; whole results are compared with SQL in test_registry."""
 
+import math
+import random
 import re
 
 import pytest
@@ -159,3 +161,30 @@ def test_cosine_of_empty_sides(spark, docs):
     rows = termed(docs).select("doc_id", terms.cosine(F.col("vector"), F.col("role_vector")).alias("c")).collect()
     by_id = {r["doc_id"]: r["c"] for r in rows}
     assert by_id[4] == 0.0 and by_id[3] == 0.0 and by_id[0] > 0
+
+
+def test_prefix_postings_lose_no_pair(spark):
+    """Random texts and roles over words of very different frequency, against the dot products of all pairs."""
+    rng = random.Random(8)
+    common, rare = [f"common{x}" for x in "abcdef"], [f"rare{x}{y}" for x in "abcdef" for y in "klmnopqrst"]
+    text = lambda n, share: " ".join(rng.choice(common if rng.random() < share else rare) for _ in range(n))
+    roles = [(n, f"title{n}", f"nokeyword{n}", text(rng.randint(1, 12), rng.choice([0.2, 0.6, 0.95]))) for n in range(60)]
+    roles += [(n, f"title{n}", f"nokeyword{n}", " ".join([*rng.sample(rare, 25), *common])) for n in range(60, 160)]
+    docs = [(n, text(rng.randint(0, 40), rng.choice([0.1, 0.6, 0.95])), "txt", None, None) for n in range(150)]
+    ready = CM.prepare(spark.createDataFrame(roles, "job_id bigint, title string, keywords string, description string"))
+    rows = termed(spark.createDataFrame(docs, "doc_id bigint, raw_text string, ext string, title string, description string"))
+    rows = rows.select("doc_id", "text", "vector", "doc_squared").cache()
+    wanted = {}
+    of_role = {r.job_id: ({t.term: t.weight for t in r.vector}, r.job_squared) for r in ready.roles.collect()}
+    met = 0
+    for d in rows.collect():
+        for job, (vector, squared) in of_role.items():
+            dot = sum(t.weight * vector.get(t.term, 0) for t in d.vector)
+            met += sum(t.term in vector for t in d.vector)
+            similarity = dot / (math.sqrt(d.doc_squared) * math.sqrt(squared)) if d.doc_squared else 0.0
+            if 0.45 * similarity >= 0.18:
+                wanted[d.doc_id, job] = round(similarity, 9)
+    found = {(r.doc_id, r.job_id): round(r.similarity, 9) for r in CM.catalog_scores(rows, ready).collect()}
+    assert found == wanted and len(wanted) > 100
+    joined = rows.select("doc_id", F.explode("vector.term").alias("term")).join(ready.postings.where("kind = 0"), "term").count()
+    assert joined < 0.7 * met and len(ready.common) <= CM.COMMON * ready.roles.agg(F.avg(F.size("vector"))).first()[0]
