@@ -80,7 +80,7 @@ def reports(spark: SparkSession, folder: str) -> DataFrame:
     number, score = F.col("event_id"), F.least(F.lit(100), F.floor(F.col("value"))).cast("int")
     n = number.cast("string")
     jobs = pick_text(
-        number, 6,
+        number, 10,
         F.concat(F.lit('[{"title": "Data Analyst", "match_score": '), (number % 100).cast("string"),
                  F.lit('}, {"title": "Role '), n, F.lit('", "match_score": 7}]')),
         F.concat(F.lit("[{'title': 'True None "), n, F.lit("', 'match_score': 7.5, 'note': None}, {'title': ''}]")),
@@ -88,6 +88,10 @@ def reports(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit('"Data Analyst, Role '), n, F.lit('"')),
         F.lit(None).cast("string"),
         F.concat(F.lit('["Plain '), n, F.lit('", {"title": "Mixed", "match_score": 3}, "  "]')),
+        F.concat(F.lit("['a' 'b', 5, u'z', True, ('tuple', 1), '5', r'c "), n, F.lit("']")),
+        F.concat(F.lit("('Top', {'title': 'Role "), n, F.lit("'})")),
+        F.concat(F.lit("[{'title': 'A\\x41 ' \"it's \" '"), n, F.lit("', 'match_score': 1_0, 'tags': ('x',)}, 7.5]")),
+        F.concat(F.lit("'Legacy ' 'Role "), n, F.lit(", Second'")),
     )
     criteria = pick_text(
         number, 4,

@@ -21,10 +21,13 @@ FROM (SELECT DISTINCT user_id FROM events) WHERE user_id % 13 <> 5
 PARTS["k_reports"] = f"""
 SELECT n AS id, CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id, 'cv_' || n || '.' || {EXT} AS filename, ts AS uploaded_at,
   CASE WHEN n % 50 <> 0 THEN CAST(least(100, floor(value)) AS INTEGER) END AS score,
-  {choose(6, '''[{'title': 'Data Analyst', 'match_score': CAST(n % 100 AS VARCHAR)}, {'title': 'Role ' || n, 'match_score': '7'}]''',
+  {choose(10, '''[{'title': 'Data Analyst', 'match_score': CAST(n % 100 AS VARCHAR)}, {'title': 'Role ' || n, 'match_score': '7'}]''',
           '''[{'title': 'True None ' || n, 'match_score': '7.5'}, {'title': '', 'match_score': NULL}]''', '[]',
-          '''[{'title': 'Data Analyst', 'match_score': NULL}, {'title': 'Role ' || n, 'match_score': NULL}]''', '[]', "[{'title': 'Mixed', 'match_score': '3'}]")} AS jobs,
-  {choose(6, "'Data Analyst, Role ' || n", "'True None ' || n", "'None'", "'Data Analyst, Role ' || n", "'None'", "'Plain ' || n || ', Mixed'")} AS summary,
+          '''[{'title': 'Data Analyst', 'match_score': NULL}, {'title': 'Role ' || n, 'match_score': NULL}]''', '[]', "[{'title': 'Mixed', 'match_score': '3'}]",
+          '[]', '[]', """[{'title': 'AA it''s ' || n, 'match_score': '10'}]""",
+          """[{'title': 'Legacy Role ' || n, 'match_score': NULL}, {'title': 'Second', 'match_score': NULL}]""")} AS jobs,
+  {choose(10, "'Data Analyst, Role ' || n", "'True None ' || n", "'None'", "'Data Analyst, Role ' || n", "'None'", "'Plain ' || n || ', Mixed'",
+          "'ab, z, 5, c ' || n", "'None'", "'AA it''s ' || n", "'Legacy Role ' || n || ', Second'")} AS summary,
   {choose(4, "[{'name': 'Skills', 'value': (n % 11) || '.5'}, {'name': 'Education', 'value': '4'}]", "[{'name': 'Education', 'value': CAST(n % 7 AS VARCHAR)}]", '[]', '[]')} AS criteria,
   {choose(5, "['Add detail ' || n, 'Use numbers']", '[]', '[]', '[]', "['Legacy advice']")} AS suggestions,
   n % 3 = 0 AS analyzed

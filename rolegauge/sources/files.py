@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 import zlib
 from xml.etree import ElementTree
@@ -20,6 +21,7 @@ UNREADABLE = "no readable text"
 # File names in any case, for the listing itself: other files are not opened.
 NAMES = "*.{[pP][dD][fF],[tT][xX][tT],[dD][oO][cC][xX]}"
 MAX_XML_BYTES = 256 << 20
+MOST_COLUMNS = 63  # of a table that does not say how many it has
 DAMAGE = (zipfile.BadZipFile, zipfile.LargeZipFile, zlib.error, ElementTree.ParseError, KeyError, RuntimeError, EOFError, OSError, ValueError)
 
 
@@ -38,8 +40,8 @@ def decode_text(content: Column) -> Column:
 
 
 def docx_text(content: bytes) -> str:
-    """Paragraphs, then table cells row by row, one per line; a merged cell counts once for each place it covers. Empty when the
-    file is damaged, encrypted, packed in an unknown way, or its text is larger than MAX_XML_BYTES."""
+    """Paragraphs, then table cells row by row, one per line; a merged cell counts once for each place it covers in the
+    table's grid. Empty when the file is damaged, encrypted, packed in an unknown way, or its text is larger than MAX_XML_BYTES."""
 
     def paragraph(node: ElementTree.Element) -> str:
         signs = {f"{W}tab": "\t", f"{W}br": "\n", f"{W}cr": "\n"}
@@ -54,16 +56,23 @@ def docx_text(content: bytes) -> str:
         return ""
     if body is None:
         return ""
+    def places(cell: ElementTree.Element, free: int) -> int:
+        """Columns that a cell covers, at most those that are free; 1 for a width that is no number."""
+        span = cell.find(f"{W}tcPr/{W}gridSpan")
+        width = span.get(f"{W}val", "1").strip() if span is not None else "1"
+        return max(1, min(int(width), free)) if re.fullmatch("[0-9]{1,9}", width) else 1
+
     lines = [paragraph(p) for p in body.findall(f"{W}p")]
     for table in body.findall(f"{W}tbl"):
         above: list[str] = []
+        columns = len(table.findall(f"{W}tblGrid/{W}gridCol")) or MOST_COLUMNS
         for row in table.findall(f"{W}tr"):
             texts: list[str] = []
             for cell in row.findall(f"{W}tc"):
-                span, merge = cell.find(f"{W}tcPr/{W}gridSpan"), cell.find(f"{W}tcPr/{W}vMerge")
+                merge = cell.find(f"{W}tcPr/{W}vMerge")
                 below = merge is not None and merge.get(f"{W}val") != "restart" and len(texts) < len(above)
                 text = above[len(texts)] if below else "\n".join(paragraph(p) for p in cell.findall(f"{W}p"))
-                texts += [text] * (int(span.get(f"{W}val", "1")) if span is not None else 1)
+                texts += [text] * places(cell, columns - len(texts))
             lines += texts
             above = texts
     return "\n".join(lines)

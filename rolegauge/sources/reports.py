@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import ast
+import json
+import warnings
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rolegauge.functions.columns import first, joined, nonempty
 from rolegauge.functions.text import strip
@@ -26,55 +32,73 @@ REPORTS_DDL = (
     f"suggestions {TEXTS}, analysis {ANALYSIS}"
 )
 
-# A quoted string, a word, a run of other signs, or a lone quote; quoted strings and runs give nothing back.
-LITERAL_PARTS = r"""(?s)"(?:[^"\\]++|\\.)*+"|'(?:[^'\\]++|\\.)*+'|\w++|[^"'\w]++|."""
-PYTHON_WORDS = {"None": "null", "True": "true", "False": "false"}
+@F.pandas_udf(T.StringType())
+def python_literals(texts: pd.Series) -> pd.Series:
+    """Python literals of old reports as JSON; NULL for NULL, for what is no literal and for other kinds than lists, dictionaries and
+    strings. Adjacent and prefixed strings, escapes and tuples inside are what Python reads; bytes and sets inside become empty lists."""
+
+    def converted(text: str | None) -> str | None:
+        if text is None:
+            return None
+        try:
+            with warnings.catch_warnings():
+                warnings.simplefilter("ignore")
+                value = ast.literal_eval(text)
+            return json.dumps(value, ensure_ascii=False, default=lambda _: []) if isinstance(value, (list, dict, str)) else None
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return None
+
+    return texts.map(converted)
 
 
-def as_json(text: Column) -> Column:
-    """A Python literal with JSON's words for its constants; quoted strings stay as they are."""
+def canonical(text: Column) -> Column:
+    """A payload as JSON text: itself if it is JSON, else the Python literal it holds, else NULL. Only texts that are no JSON leave the JVM."""
+    is_json = F.try_parse_json(text).isNotNull()
+    return F.coalesce(F.when(is_json, text), python_literals(F.when(~is_json, text)))
 
-    def word(part: Column) -> Column:
-        result = part
-        for python, other in PYTHON_WORDS.items():
-            result = F.when(part == python, other).otherwise(result)
-        return result
 
-    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(LITERAL_PARTS), F.lit(0)), word), "")
+def of_kind(json_text: Column, schema: str, opening: str) -> Column:
+    """A canonical payload by its schema, NULL if it is of another kind. ``opening`` is the first character of its kind."""
+    return F.when(F.ltrim(json_text).startswith(opening), F.from_json(json_text, schema))
 
 
 def parsed(text: Column, schema: str, opening: str) -> Column:
-    """A payload text as JSON, else as a Python literal, else NULL. ``opening`` is the first character of its kind."""
-    value = F.coalesce(F.from_json(text, schema), F.from_json(as_json(text), schema))
-    return F.when(F.ltrim(text).startswith(opening), value)
+    """A payload text, JSON or a Python literal, by its schema; else NULL."""
+    return of_kind(canonical(text), schema, opening)
+
+
+def string_payload(json_text: Column) -> Column:
+    """The value of a canonical payload that is one string, else NULL."""
+    return F.get(of_kind(F.concat(F.lit("["), F.when(F.ltrim(json_text).startswith('"'), json_text), F.lit("]")), TEXTS, "["), F.lit(0))
 
 
-def string_payload(text: Column) -> Column:
-    """The value of a payload that is one quoted string, else NULL."""
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    quoted = F.rlike(text, F.lit(r"""\A\s*["']"""))
-    return F.when(quoted, F.get(F.from_json(wrapped, TEXTS), F.lit(0)))
+def elements(json_text: Column) -> Column:
+    """The elements of a canonical list as structs of text and kind ("STRING", "OBJECT<...>", ...): a number is no title, whatever it looks
+    like."""
+    kinds = F.transform(F.try_parse_json(F.when(F.ltrim(json_text).startswith("["), json_text)).cast("array<variant>"), F.schema_of_variant)
+    return F.zip_with(of_kind(json_text, TEXTS, "["), kinds, lambda t, k: F.struct(t.alias("text"), k.alias("kind")))
 
 
 def is_object(element: Column) -> Column:
-    return element.startswith("{")
+    return element["kind"].startswith("OBJECT")
 
 
 def job_list(text: Column) -> Column:
     """Matches of a stored report, element by element: objects stay, other elements are no matches. One quoted string of titles is
     split at its commas."""
-    elements = F.filter(parsed(text, TEXTS, "["), is_object)
-    objects = F.transform(elements, lambda e: F.from_json(e, JOB))
-    names = F.filter(F.transform(F.split(string_payload(text), ","), strip), lambda t: t != "")
+    payload = canonical(text)
+    objects = F.transform(F.filter(elements(payload), is_object), lambda e: F.from_json(e["text"], JOB))
+    names = F.filter(F.transform(F.split(string_payload(payload), ","), strip), lambda t: t != "")
     from_names = F.transform(names, lambda t: F.struct(t.alias("title"), F.lit(None).cast("string").alias("match_score")))
     return F.coalesce(objects, from_names, F.array().cast(JOBS))
 
 
 def match_summary(text: Column) -> Column:
     """Titles of the matches as one line, objects and plain titles mixed; a quoted string is returned as it is."""
-    title = lambda e: F.when(is_object(e), F.from_json(e, JOB)["title"]).otherwise(strip(e))
-    titles = F.filter(F.transform(parsed(text, TEXTS, "["), title), nonempty)
-    return F.coalesce(F.when(F.size(titles) > 0, joined(titles)), string_payload(text), F.lit("None"))
+    payload = canonical(text)
+    title = lambda e: F.when(is_object(e), F.from_json(e["text"], JOB)["title"]).when(e["kind"] == "STRING", strip(e["text"]))
+    titles = F.filter(F.transform(elements(payload), title), nonempty)
+    return F.coalesce(F.when(F.size(titles) > 0, joined(titles)), string_payload(payload), F.lit("None"))
 
 
 def summaries(reports: DataFrame) -> Column:

@@ -90,3 +90,17 @@ def test_scan_rules(spark):
     assert [r[0] for r in df.orderBy("n").select(reason).collect()] == [
         "file missing", "file type", "target too long", "target too long", "signature", "no text", None,
     ]
+
+
+def test_cell_widths_that_are_no_numbers_or_too_large(spark):
+    def packed(grid, spans):
+        cells = "".join(f'<w:tc><w:tcPr><w:gridSpan w:val="{s}"/></w:tcPr><w:p><w:r><w:t>c{n}</w:t></w:r></w:p></w:tc>' for n, s in enumerate(spans))
+        body = f"<w:tbl><w:tblGrid>{'<w:gridCol/>' * grid}</w:tblGrid><w:tr>{cells}</w:tr></w:tbl>"
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as archive:
+            archive.writestr("word/document.xml", f'<w:document xmlns:w="{S.W[1:-1]}"><w:body>{body}</w:body></w:document>')
+        return out.getvalue()
+
+    assert S.docx_text(packed(4, ["x", "2", "", "-1"])).split("\n") == ["c0", "c1", "c1", "c2", "c3"]
+    assert S.docx_text(packed(3, ["3000000", "9"])).split("\n") == ["c0", "c0", "c0", "c1"]
+    assert len(S.docx_text(packed(0, ["3000000"])).split("\n")) == 63

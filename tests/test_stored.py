@@ -46,6 +46,18 @@ def test_payloads(spark):
     assert [t for _, t in out][9:] == [["True North"], ["x"], ["x"], ["it's None"]]
 
 
+def test_python_literals(spark):
+    """Forms that only Python reads: prefixes, adjacent strings, escapes, tuples; numbers are no titles."""
+    values = [
+        "['a', 5]", "['a' 'b']", "[u'z']", "[{'title': 'A\\x41'}]", "('a', 'b')", "[('a',), 'b']", "'x' ', y'", "{'a'}", "[1, 2", "[" * 3000, "['a', {1: 2}]",
+        '["1", 1]', "[b'x', 'y']", "  ['lead']", "[{'title': 5}]", "__import__('os')", '["{x"]', "[{'title': 'a', 'title': 'b'}]",
+    ]
+    rows = payload(spark, values).select(R.match_summary(F.col("t")), R.job_list(F.col("t"))).collect()
+    assert [r[0] for r in rows] == ["a", "ab", "z", "AA", "None", "b", "x, y", "None", "None", "None", "a", "1", "y", "lead", "5", "None", "{x", "b"]
+    assert [[j["title"] for j in r[1]] for r in rows][3:7] == [["AA"], [], [], ["x", "y"]]
+    assert rows[16][1] == [] and rows[10][1][0]["title"] is None
+
+
 def test_wrong_kinds_become_empty(spark):
     df = payload(spark, ["[1]", '{"Skills": 7.5, "Education": 1}', None]).select(R.parsed(F.col("t"), R.CRITERIA, "{"))
     got = [r[0] for r in df.collect()]
