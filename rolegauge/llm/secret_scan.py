@@ -52,6 +52,12 @@ PATTERNS = {
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 COMPILED = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
+#: For kinds whose patterns look far ahead: the run that every match from a start inside it must go through. If one start fails at its end,
+#: so do all later ones inside it; they are left out, which keeps the scan linear.
+RUNS = {
+    "jwt": re.compile(r"[A-Za-z0-9_-]+"),
+    "pem": re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s,:-]*"),
+}
 HEX_RUN = re.compile(r"[0-9a-f]{%d,}" % HEX_MIN)
 HEX_MARK = bytes(120 if chr(b) in "0123456789abcdef" else 46 for b in range(256))
 HEX_FOUND = b"x" * HEX_MIN
@@ -124,11 +130,15 @@ def spans(text: str) -> list[tuple[int, int, int]]:
     for kind, places in starts.items():
         rank, pattern, free = KINDS.index(kind), COMPILED[kind], 0
         for place in sorted(places):
-            if place >= free and (hit := pattern.match(text, place)):
+            if place < free:
+                continue
+            if hit := pattern.match(text, place):
                 free = hit.end()
                 if valid(kind, hit):
                     start, end = span_of(kind, hit)
                     found.append((start, rank, end))
+            elif kind in RUNS and (run := RUNS[kind].match(text, place)):
+                free = run.end()
     if HEX_FOUND in text.encode("utf-8", "surrogatepass").translate(HEX_MARK):
         rank = KINDS.index("hex")
         found += [(hit.start(), rank, hit.end()) for hit in HEX_RUN.finditer(text)]

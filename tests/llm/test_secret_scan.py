@@ -4,7 +4,9 @@ import base64
 import hashlib
 import random
 import re
+import time
 
+from rolegauge.llm import secret_scan as S
 from rolegauge.llm.secret_scan import base62_crc, luhn, scan_secrets, spans
 
 RULES = (
@@ -58,3 +60,29 @@ def test_rows_and_edge_cases(spark):
     )
     assert got == expected
     assert scan_secrets(df.where("false")).collect() == []
+
+
+def test_long_junk_takes_linear_time():
+    """A megabyte of token starts, of key headers without an end, and of keyword starts."""
+    header = "-----BEGIN PRIVATE KEY-----\n"
+    for junk in ("eyJ" * 350_000, "eyJa." * 200_000, header * 40_000, "-----BEGIN " * 100_000, "token " * 170_000, "AKIA" * 260_000, "card " * 200_000, "0123456789abcde " * 65_000):
+        begin = time.process_time()
+        S.spans(junk)
+        assert time.process_time() - begin < 3
+
+
+def test_starts_after_a_failed_one_are_still_found():
+    """What follows the run of a failed start is looked at, as a search from every keyword would."""
+    key = "-----BEGIN PRIVATE KEY-----\nMIIB\n-----END PRIVATE KEY-----"
+    head = base64.urlsafe_b64encode(b'{"alg":"x"}').decode().rstrip("=")
+    token = f"{head}.{head}.sig"
+    for text in (f"-----BEGIN PRIVATE KEY-----\n! {key}", f"eyJeyJ {token}", f"eyJabc.{token}", f"eyJ.eyJ.{token}", f"-----BEGIN {key}", f"{key}{key}", f"eyJx{token}", f"-----BEGIN CERTIFICATE-----\nMIIC\n-----END CERTIFICATE-----\n{key}", f"-----BEGIN PRIVATE KEY-----\n{key}"):
+        plain = []
+        for kind in ("jwt", "pem"):
+            rank, free = S.KINDS.index(kind), 0
+            for place in range(len(text)):
+                if place >= free and (hit := S.COMPILED[kind].match(text, place)):
+                    free = hit.end()
+                    if S.valid(kind, hit):
+                        plain.append((place, rank, hit.end()))
+        assert [f for f in S.spans(text) if f[1] in (5, 7)] == sorted(plain) and S.KINDS[5] == "jwt"
