@@ -54,11 +54,28 @@ def report_by_id(spark, folder):
         (F.col("event_id") - F.col("event_id") % 3).alias("report_id"), F.col("user_id").alias("viewer_id"),
         F.col("event_id").alias("request_id"),
     )
-    return H.looked_up(asked, X.reports(spark, folder), access(spark, folder)).select(
-        "request_id", "report_id", "viewer_id", "filename", "score"
+    found = R.with_payload(H.looked_up(asked, X.reports(spark, folder), access(spark, folder)))
+    shown = lambda value: F.coalesce(value, F.lit("None"))
+    jobs = F.transform("matched_jobs", lambda j: F.concat(shown(j["title"]), F.lit("="), shown(j["match_score"])))
+    criteria = F.transform(F.map_entries("criteria"), lambda c: F.concat(c["key"], F.lit("="), c["value"]))
+    analysis = F.col("analysis")
+    return found.select(
+        "request_id", "report_id", "viewer_id", "filename", "score", F.array_join(jobs, "|").alias("jobs"), F.array_join(criteria, "|").alias("criteria"),
+        F.array_join("suggestions", "|").alias("suggestions"), analysis["word_count"].alias("word_count"), analysis["score_details"]["Skills"].alias("reason"),
+        analysis["bullet_rewrites"][0]["after"].alias("rewrite"), analysis["analysis_steps"][0]["detail"].alias("step"),
     )
 
 
+def previous_at_scan(spark, folder):
+    """New reports of the corpus documents, spread over the time of the stored ones."""
+    stored = X.reports(spark, folder)
+    span = X.table(spark, folder, "events").select(F.min("ts").alias("first"), F.max("ts").alias("last"))
+    at = F.timestamp_micros(F.unix_micros(F.col("first").cast("timestamp")) + F.pmod(F.col("doc_id") * 7919 * 1_000_003, F.unix_micros(F.col("last").cast("timestamp")) - F.unix_micros(F.col("first").cast("timestamp"))))
+    new = X.table(spark, folder, "documents").withColumns({"first": span.select("first").scalar(), "last": span.select("last").scalar()})
+    new = new.select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.col("doc_id") % 150).alias("user_id"), at.alias("uploaded_at"))
+    return H.previous_at_scan(new, stored, "doc_id")
+
+
 def admin_counts(spark, folder):
     return H.counts(X.reports(spark, folder), X.users(spark, folder), X.catalog(spark, folder))
 
@@ -226,7 +243,11 @@ ENTRIES = {
     "access_pairs": (access_pairs, "SELECT viewer_id, owner_id FROM k_access"),
     "report_by_id": (
         report_by_id,
-        """SELECT e.event_id AS request_id, r.id AS report_id, e.user_id AS viewer_id, r.filename, r.score
+        """SELECT e.event_id AS request_id, r.id AS report_id, e.user_id AS viewer_id, r.filename, r.score,
+          array_to_string(list_transform(r.jobs, lambda j: j.title || '=' || coalesce(j.match_score, 'None')), '|') AS jobs,
+          array_to_string(list_transform(r.criteria, lambda c: c.name || '=' || c.value), '|') AS criteria, array_to_string(r.suggestions, '|') AS suggestions,
+          CASE WHEN r.analyzed THEN r.id::INTEGER END AS word_count, CASE WHEN r.analyzed THEN 'Detected explicit skills.' END AS reason,
+          CASE WHEN r.analyzed THEN 'Delivered ' || r.id END AS rewrite, CASE WHEN r.analyzed THEN r.id || ' words' END AS step
         FROM events e JOIN k_reports r ON r.id = e.event_id - e.event_id % 3
         WHERE EXISTS (SELECT 1 FROM k_access a WHERE a.viewer_id = e.user_id AND a.owner_id = r.user_id)""",
     ),
@@ -260,6 +281,13 @@ ENTRIES = {
         """SELECT id, user_id, score, previous_score, CASE WHEN previous_score IS NOT NULL THEN score >= previous_score END AS not_worse
         FROM (SELECT *, lag(score) OVER (PARTITION BY user_id ORDER BY uploaded_at, id) AS previous_score FROM k_reports)""",
     ),
+    "previous_at_scan": (
+        previous_at_scan,
+        """SELECT doc_id, score AS previous_score FROM (
+          SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN doc_id % 150 ELSE -1 END AS owner, make_timestamp(a + (doc_id * 7919 * 1000003) % (b - a)) AS at
+          FROM documents, (SELECT epoch_us(min(ts)) AS a, epoch_us(max(ts)) AS b FROM events)) new
+        ASOF LEFT JOIN (SELECT coalesce(user_id, -1) AS owner, uploaded_at AS at, score FROM k_reports) old USING (owner, at)""",
+    ),
     "backfill_owner": (
         backfill_owner, "SELECT id, coalesce(user_id, (SELECT primary_id FROM k_keys)) AS user_id, score FROM k_reports",
     ),

@@ -133,6 +133,32 @@ def score_progress(reports: DataFrame) -> DataFrame:
     )
 
 
+def previous_at_scan(new: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """``key, previous_score``: for each new report the score of its owner's newest stored report at that time, NULL without one.
+
+    An as-of lookup in one range partitioning of both tables by (owner, time), as in ``score_progress``: an owner with many reports is cut
+    into parts; what stands before a part is taken from a table with one row per owner and part. A stored report of the same time counts
+    as earlier; anonymous reports have one owner. Stored reports without a score are the newest all the same.
+    """
+    owner = F.coalesce(F.col("user_id").cast("string"), F.lit(""))
+    at = F.col("uploaded_at").cast("timestamp").alias("at")
+    none = F.lit(None).cast(dict(new.dtypes)[key])
+    known = stored.select(owner.alias("owner"), at, F.lit(0).alias("kind"), F.col("id").alias("no"), F.struct("score").alias("own"), none.alias("key"))
+    asked = new.select(
+        owner.alias("owner"), at, F.lit(1).alias("kind"), F.lit(None).cast(known.schema["no"].dataType).alias("no"),
+        F.lit(None).cast(known.schema["own"].dataType).alias("own"), F.col(key).alias("key"),
+    )
+    order = ["at", "kind", "no"]
+    parted = known.unionByName(asked).repartitionByRange(shuffle_partitions(new.sparkSession), "owner", *order, "key")
+    placed = materialize(parted.withColumn("period", F.spark_partition_id()), "as-of-parts")
+    inside = Window.partitionBy("owner", "period").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ends = placed.groupBy("owner", "period").agg(F.max_by(F.when(F.col("kind") == 0, F.col("own")), F.when(F.col("kind") == 0, F.struct("at", "no"))).alias("end"))
+    before = Window.partitionBy("owner").orderBy("period").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("owner", "period", F.last("end", ignorenulls=True).over(before).alias("carried"))
+    found = placed.withColumn("before", F.last("own", ignorenulls=True).over(inside)).filter(F.col("kind") == 1)
+    return found.join(carried, ["owner", "period"]).select(F.col("key").alias(key), F.coalesce("before", "carried")["score"].alias("previous_score"))
+
+
 def recent_contacts(contacts: DataFrame, users: DataFrame, count: int = NEWEST) -> DataFrame:
     """The newest contact messages with the sender's username. Only the users of these messages are joined."""
     order = [F.desc("created_at"), F.desc("id")]

@@ -9,6 +9,7 @@ from rolegauge.functions.text import bullet_rewrites
 from rolegauge.lexicon import DEFAULT, Lexicon
 from rolegauge.operators.advice import analysis_steps, suggestions
 from rolegauge.operators.catalog_match import Prepared, prepare
+from rolegauge.operators.history import previous_at_scan
 from rolegauge.plans.documents import score_termed, termed
 from rolegauge.plans.matching import catalog_matches, merged
 from rolegauge.sources.reports import labelled
@@ -67,3 +68,8 @@ def report_rows(analysis: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
 
 def scan(docs: DataFrame, catalog: DataFrame | Prepared, as_of_year: int, lex: Lexicon = DEFAULT) -> DataFrame:
     return report_rows(analyzed(docs, catalog, as_of_year, lex), lex)
+
+
+def scan_with_previous(docs: DataFrame, catalog: DataFrame | Prepared, as_of_year: int, stored: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
+    """The report rows of a scan with ``previous_score``: the score of the owner's newest report in ``stored`` at the time of the scan."""
+    return scan(docs, catalog, as_of_year, lex).join(previous_at_scan(docs, stored, "doc_id"), "doc_id")

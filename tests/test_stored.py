@@ -8,7 +8,7 @@ from rolegauge.operators import history as H
 from rolegauge.operators import validation as V
 from rolegauge.operators.numbering import number_rows
 from rolegauge.plans.history import dashboards, exported, recent_history, report_details
-from rolegauge.plans.scan import scan
+from rolegauge.plans.scan import scan, scan_with_previous
 from rolegauge.schemas import CONTACTS_DDL, STORED_REPORTS_DDL, USERS_DDL, conform, read_or_empty, schema
 from rolegauge.sources import catalog as Cat
 from rolegauge.sources import reports as R
@@ -117,6 +117,17 @@ def test_progress_crosses_periods_and_groups_the_anonymous(spark):
     assert last == {None: 7, 9: 2}
 
 
+def test_previous_score_at_scan_time(spark):
+    """A hot owner cut into parts, equal times, anonymous owners, reports without a score, against a plain search."""
+    old = [(n, 7 if n % 3 else None, n % 40, None if n % 9 == 0 else n % 100) for n in range(300)] + [(900, 8, 5, 50)]
+    new = [(n, [7, None, 8, 99][n % 4], n % 45) for n in range(120)]
+    asked = spark.createDataFrame([(k, u, DAY + timedelta(hours=h)) for k, u, h in new], "doc_id bigint, user_id bigint, uploaded_at timestamp")
+    got = {r["doc_id"]: r["previous_score"] for r in H.previous_at_scan(asked, reports(spark, old), "doc_id").collect()}
+    newest = lambda u, h: max(((at, i, score) for i, owner, at, score in old if owner == u and at <= h), key=lambda r: r[:2], default=(0, 0, None))[2]
+    assert got == {k: newest(u, h) for k, u, h in new}
+    assert H.previous_at_scan(asked, reports(spark, []), "doc_id").filter("previous_score is null").count() == 120
+
+
 def test_backfill_and_new_users(spark):
     people = users(spark, [(1, "admin"), (2, "ann")])
     filled = R.backfill_owner(reports(spark, [(1, None, 0, 5), (2, 7, 0, 5)]), H.key_users(people).select("primary_id"))
@@ -172,6 +183,8 @@ def test_reports_of_a_scan_are_whole(spark, tmp_path):
     found = scan(docs, Cat.default_catalog(spark), 2026)
     R.append_reports(found.join(R.report_ids(docs, "doc_id", R.read_reports(spark, path)), "doc_id").drop("doc_id"), path)
     stored = R.read_reports(spark, path)
+    again = scan_with_previous(docs.withColumn("uploaded_at", F.lit(DAY + timedelta(days=1))), Cat.default_catalog(spark), 2026, stored)
+    assert {r["previous_score"] for r in again.collect()} == {stored.orderBy(F.desc("id")).first()["score"]}
     people = users(spark, [(1, "admin"), (2, "ann")])
     asked = spark.createDataFrame([(1, 2), (2, 1)], "report_id bigint, viewer_id bigint")
     lines = [r["line"] for r in exported(asked, stored, people).orderBy("line_no").collect()]
