@@ -284,9 +284,9 @@ ENTRIES = {
     "previous_at_scan": (
         previous_at_scan,
         """SELECT doc_id, score AS previous_score FROM (
-          SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN doc_id % 150 ELSE -1 END AS owner, make_timestamp(a + (doc_id * 7919 * 1000003) % (b - a)) AS at
+          SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN doc_id % 150 ELSE -1 END AS owner, make_timestamp(a + (doc_id * 7919 * 1000003) % (b - a)) AS asked_at
           FROM documents, (SELECT epoch_us(min(ts)) AS a, epoch_us(max(ts)) AS b FROM events)) new
-        ASOF LEFT JOIN (SELECT coalesce(user_id, -1) AS owner, uploaded_at AS at, score FROM k_reports) old USING (owner, at)""",
+        ASOF LEFT JOIN (SELECT coalesce(user_id, -1) AS owner, uploaded_at AS asked_at, score FROM k_reports) old USING (owner, asked_at)""",
     ),
     "backfill_owner": (
         backfill_owner, "SELECT id, coalesce(user_id, (SELECT primary_id FROM k_keys)) AS user_id, score FROM k_reports",
