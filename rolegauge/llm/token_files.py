@@ -40,7 +40,7 @@ from rolegauge.storage import materialize, new_folder
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 BLOCK_IDS = 1 << 20
-TEXT_PIECE = 2_000_000
+TEXT_PIECE = 8_000_000
 MAGIC = b"IDCODE01"
 RAW = "part int, path string, n_ids bigint, ids array<int>, counts array<bigint>"
 MANIFEST = "part int, path string, start bigint, n_ids bigint, n_bytes bigint"

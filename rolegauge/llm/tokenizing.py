@@ -2,7 +2,8 @@
 
 A byte-level BPE never joins characters across a single blank, or a single line break, between two visible characters: such a blank
 starts a new piece and such a line break is a piece. Texts are cut at these places only, each distinct piece is encoded once while it is
-known (bounded memory, kept between the tasks of a worker), and the ids are gathered. The result equals encoding the whole text; tests
+known (bounded memory, kept between the tasks of a worker; when it is full, the pieces seen in two or more calls stay), and the ids are
+gathered. The result equals encoding the whole text; tests
 compare the two.
 """
 
@@ -61,6 +62,23 @@ class PieceEncoder:
         self.at_start: dict[str, int] = {}
         start = np.array([self.end_id, *self.line_break], np.uint32)  # place 0: the end; place 1: a line break
         self.flat, self.first, self.size = start, np.array([0, 1]), np.array([1, len(start) - 1])
+        self.calls = np.zeros(2, np.int32)
+
+    def forget(self) -> None:
+        """Keep the pieces that were asked for in most calls: those of two or more, or of so many more that they fill half the room."""
+        calls, least = self.calls, 2
+        while np.count_nonzero(calls >= least) > KNOWN_PIECES // 2:
+            least += 1
+        stay = calls >= least
+        stay[:2] = True
+        place = np.cumsum(stay) - 1
+        for name in ("after_blank", "at_start"):
+            known = getattr(self, name)
+            setattr(self, name, {w: int(place[i]) for w, i in known.items() if stay[i]})
+        sizes = self.size[stay]
+        ends = np.cumsum(sizes)
+        self.flat = self.flat[np.repeat(self.first[stay] - ends + sizes, sizes) + np.arange(ends[-1])]
+        self.first, self.size, self.calls = ends - sizes, sizes, np.zeros(len(sizes), np.int32)
 
     def encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces in a row, and their numbers."""
@@ -82,6 +100,7 @@ class PieceEncoder:
         begin = len(self.size)
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(sizes) - sizes])
         self.flat, self.size = np.concatenate([self.flat, ids]), np.concatenate([self.size, sizes])
+        self.calls = np.concatenate([self.calls, np.zeros(len(sizes), np.int32)])
         known.update(zip(names, range(begin, begin + len(names)), strict=True))
 
     def learn(self, known: dict[str, int], words: list[str], before: str) -> None:
@@ -111,6 +130,7 @@ class PieceEncoder:
         distinct = coded.dictionary.to_pylist()
         self.learn(known, distinct, before)
         table = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        self.calls[table] += 1
         return table[coded.indices.to_numpy()]
 
     def regular(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -138,7 +158,7 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of each text's ids, the end id included."""
         if len(self.size) > KNOWN_PIECES:
-            self.clear()
+            self.forget()
         plain = [i for i, text in enumerate(texts) if plain_blanks(text)]
         runs: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
         if plain:

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from rolegauge.llm import tokenizing
 from rolegauge.llm import token_files as T
 from rolegauge.llm.huffman import CHECKPOINT, Codebook, code_lengths
 from rolegauge.llm.tokenizing import PieceEncoder, cut
@@ -98,3 +99,16 @@ def test_empty_and_damaged(spark, tmp_path):
     (tmp_path / "bad").write_bytes(data)
     with pytest.raises(ValueError):
         list(T.documents_in(f"file://{tmp_path}/bad"))
+
+
+def test_known_pieces_stay_when_the_room_is_full(monkeypatch):
+    monkeypatch.setattr(tokenizing, "KNOWN_PIECES", 60)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, whole = tokenizing.PieceEncoder(path, 2), tokenizing.tokenizer(path)
+    for n in range(40):
+        texts = [f"the common words, and w{n} v{n + i}.\nthe x{n * i}" for i in range(4)] + [f"odd  {n} the\t", ""]
+        ids, sizes = encoder.encode(texts)
+        want = [[*whole.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert sizes.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+        assert len(encoder.size) < 120
+    assert "common" in encoder.after_blank
