@@ -12,7 +12,7 @@ from rolegauge.operators.rate_limit import client_key, judge, rate_limit
 from rolegauge.plans.scan import scan
 from rolegauge.sources.catalog import default_catalog
 from rolegauge.streaming.attempts import limit_stream
-from rolegauge.streaming.scan_stream import start_scan
+from rolegauge.streaming.scan_stream import RANGES, ids_before, record_ids, start_scan
 
 START = datetime(2025, 1, 1)
 
@@ -106,6 +106,29 @@ def test_continuous_scan_equals_batch(spark, tmp_path):
     expected = scan(spark.createDataFrame(rows, shape), catalog, 2026)
     assert sorted(map(tuple, stored.select("doc_id", "score").collect())) == sorted(map(tuple, expected.select("doc_id", "score").collect()))
     assert stored.select("id").distinct().count() == 6
+    assert {(r["batch"], r["id"]) for r in stored.groupBy("batch").agg(F.max("id").alias("id")).collect()} == {(0, 4), (1, 6)}
+    assert spark.read.parquet(f"{out}/{RANGES}/after=1").first()["id"] == 6
+
+
+def test_a_micro_batch_reads_one_record(spark, tmp_path):
+    out = str(tmp_path / "out")
+    ids = lambda rows, n: spark.createDataFrame([(i,) for i in rows], "id bigint").write.mode("overwrite").parquet(f"{out}/batch={n}")
+    last = lambda n: ids_before(spark, out, n).agg(F.max("id")).first()[0]
+    assert last(0) is None and last(3) is None
+    read = []
+    for n in range(6):
+        known = ids_before(spark, out, n)
+        read.append(len(known.inputFiles()))
+        ids([] if n == 3 else [2 * n + 1, 2 * n + 2], n)
+        record_ids(spark, out, n, known)
+    assert read[1:] == [1] * 5 and last(4) == 6 and last(6) == 12
+    ids([9, 10], 4)  # repeated after a failure
+    record_ids(spark, out, 4, ids_before(spark, out, 4))
+    assert last(5) == 10
+    old = str(tmp_path / "old")  # written before there were records
+    spark.createDataFrame([(5,), (7,)], "id bigint").write.parquet(f"{old}/batch=0")
+    assert ids_before(spark, old, 1).agg(F.max("id")).first()[0] == 7
+    assert set(spark.read.parquet(out).columns) == {"id", "batch"}
 
 
 def test_client_key_and_uncounted_attempts(spark):
