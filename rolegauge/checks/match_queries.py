@@ -8,6 +8,7 @@ from rolegauge.checks import corpus as X
 from rolegauge.checks.plans import planned
 from rolegauge.checks.sentences import AS_OF_YEAR
 from rolegauge.functions import terms
+from rolegauge.functions.columns import elements
 from rolegauge.operators.advice import most_missing
 from rolegauge.operators.catalog_match import catalog_scores, prepare, with_role_details
 from rolegauge.operators.target import coverage, explanation
@@ -32,11 +33,11 @@ def compared(spark, folder):
 
 
 def term_freq(spark, folder):
-    return vectors(spark, folder).select("doc_id", F.inline("plain_vector"))
+    return elements(vectors(spark, folder), "plain_vector", ["doc_id"], ["at", "t"]).select("doc_id", "t.term", "t.weight")
 
 
 def weighted_terms(spark, folder):
-    return vectors(spark, folder).select("doc_id", F.inline("vector"))
+    return elements(vectors(spark, folder), "vector", ["doc_id"], ["at", "t"]).select("doc_id", "t.term", "t.weight")
 
 
 def cosine_plain(spark, folder):
@@ -48,13 +49,13 @@ def cosine_weighted(spark, folder):
 
 
 def target_top_terms(spark, folder):
-    return compared(spark, folder).select("doc_id", F.posexplode("candidates").alias("at", "term")).select(
+    return elements(compared(spark, folder), "candidates", ["doc_id"], ["at", "term"]).select(
         "doc_id", (F.col("at") + 1).alias("place"), "term"
     )
 
 
 def keyword_presence(spark, folder):
-    return compared(spark, folder).select("doc_id", "present", F.explode("candidates").alias("keyword")).select(
+    return elements(compared(spark, folder), "candidates", ["doc_id", "present"], ["at", "keyword"]).select(
         "doc_id", "keyword", F.array_contains("present", F.col("keyword")).alias("found")
     )
 

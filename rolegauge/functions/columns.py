@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,16 @@ def joined(array: Column, sep: str = ", ") -> Column:
     return F.array_join(array, sep)
 
 
+def elements(rows: DataFrame, array: str, keep: list[str], names: list[str]) -> DataFrame:
+    """A row for each element of an array column: ``keep``, the place from 0, and the element.
+
+    An inner explode makes Spark test the size of the array beforehand, and a computed array is then computed once more, at the source
+    and before rows are dealt out. The outer form has no such test; the rows it adds for empty arrays have no place.
+    """
+    placed = rows.select(*keep, F.posexplode_outer(array).alias(*names))
+    return placed.filter(F.col(names[0]).isNotNull())
+
+
 def nonempty(text: Column) -> Column:
     return F.coalesce(text, F.lit("")) != ""
 
