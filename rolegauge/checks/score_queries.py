@@ -9,6 +9,7 @@ from rolegauge.checks import corpus as X
 from rolegauge.checks.sentences import AS_OF_YEAR
 from rolegauge.checks.plans import planned
 from rolegauge.checks.sql import base as B
+from rolegauge.functions.columns import elements
 from rolegauge.operators import criteria as C
 from rolegauge.plans import documents as D
 from rolegauge.plans.scan import analyzed
@@ -70,7 +71,7 @@ def analysis_steps(spark, folder):
 
 
 def suggestions(spark, folder):
-    return full(spark, folder).select("doc_id", F.posexplode("suggestions").alias("at", "suggestion")).select(
+    return elements(full(spark, folder), "suggestions", ["doc_id"], ["at", "suggestion"]).select(
         "doc_id", (F.col("at") + 1).alias("place"), "suggestion"
     )
 

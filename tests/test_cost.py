@@ -24,7 +24,7 @@ def test_elements(spark):
     assert [tuple(r) for r in elements(rows, "list", ["n"], ["at", "x"]).orderBy("at").collect()] == [(1, 0, "a"), (1, 1, None)]
 
 
-@pytest.mark.parametrize("name", ["term_freq", "weighted_terms", "target_top_terms"])
+@pytest.mark.parametrize("name", ["term_freq", "weighted_terms", "target_top_terms", "suggestions"])
 def test_an_array_is_computed_once(spark, tables, name):
     """Spark's own test of the size of the array would compute it before the documents are dealt out."""
     assert "Filter ((size(" not in optimized(queries()[name](spark, tables))
