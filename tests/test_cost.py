@@ -1,8 +1,12 @@
 """Work that grows with the tables is done once and dealt out; the rows are written for these tests."""
 
+from datetime import datetime, timedelta
+
 import pytest
 from rolegauge.checks.registry import queries
 from rolegauge.functions.columns import elements
+from rolegauge.schemas import STORED_REPORTS_DDL
+from rolegauge.sources import reports as R
 
 
 @pytest.fixture(scope="module")
@@ -28,3 +32,12 @@ def test_elements(spark):
 def test_an_array_is_computed_once(spark, tables, name):
     """Spark's own test of the size of the array would compute it before the documents are dealt out."""
     assert "Filter ((size(" not in optimized(queries()[name](spark, tables))
+
+
+def test_a_day_of_reports_is_few_files(spark, tmp_path):
+    start = datetime(2025, 1, 1)
+    data = [(n, 1, f"f{n}.txt", start + timedelta(days=n % 3), 5, None, None, None, None) for n in range(60)]
+    path = str(tmp_path / "reports")
+    R.append_reports(spark.createDataFrame(data, STORED_REPORTS_DDL).repartition(20), path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 60 and len(stored.inputFiles()) <= 8
