@@ -111,8 +111,9 @@ def relevance_score(text: Column, similarity: Column) -> Column:
     )
 
 
-def criteria(text: Column, ext: Column, p: Column, similarity: Column, lex: Lexicon = DEFAULT) -> Column:
-    """The ten scores as a struct in criterion order. Needs the ``signals`` columns."""
+def criterion_scores(text: Column, ext: Column, p: Column, similarity: Column, lex: Lexicon = DEFAULT) -> dict[str, Column]:
+    """The ten scores by name in criterion order. Needs the ``signals`` columns; put them in columns of their own before explaining them, so
+    that a query for one of them does not compute the others."""
     scores = {
         "contact": contact_score(),
         "summary": summary_score(text),
@@ -125,7 +126,7 @@ def criteria(text: Column, ext: Column, p: Column, similarity: Column, lex: Lexi
         "file_format": file_format_score(ext),
         "relevance": relevance_score(text, similarity),
     }
-    return F.struct(*[scores[key].cast("int").alias(key) for key in CRITERION_KEYS])
+    return {key: scores[key].cast("int") for key in CRITERION_KEYS}
 
 
 # ------------------------------------------------------------------------------------------------ reasons
@@ -219,8 +220,8 @@ def relevance_reason(similarity: Column) -> Column:
     )
 
 
-def reasons(text: Column, ext: Column, p: Column, similarity: Column, scores: Column, lex: Lexicon = DEFAULT) -> Column:
-    """The ten sentences as a struct in criterion order, each at most 150 characters."""
+def reasons(text: Column, ext: Column, p: Column, similarity: Column, scores: dict[str, Column], lex: Lexicon = DEFAULT) -> Column:
+    """The ten sentences as a struct in criterion order, each at most 150 characters. ``scores`` are columns by name."""
     sentences = {
         "contact": contact_reason(),
         "summary": summary_reason(text, scores["summary"]),

@@ -11,7 +11,7 @@ from rolegauge.functions.terms import (
     cosine, present_terms, role_hints, skills, squared_norm, term_vector, tokens, top_terms, weighted_bag,
 )
 from rolegauge.functions.text import normalize, strip, word_count, word_hits
-from rolegauge.lexicon import DEFAULT, EDUCATION_WORDS, Lexicon
+from rolegauge.lexicon import CRITERION_KEYS, DEFAULT, EDUCATION_WORDS, Lexicon
 from rolegauge.operators import criteria as C
 from rolegauge.operators.target import target_match, target_text
 
@@ -92,12 +92,16 @@ def with_profile(docs: DataFrame, as_of_year: int, lex: Lexicon = DEFAULT) -> Da
 
 def with_criteria(docs: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
     text, p, similarity = F.col("text"), F.col("profile"), F.col("plain_similarity")
+    signalled = docs.withColumns(C.signals(text, lex))
+    found = {f"{key}_points": score for key, score in C.criterion_scores(text, F.col("ext"), p, similarity, lex).items()}
+    points = {key: F.col(f"{key}_points") for key in CRITERION_KEYS}
     return (
-        docs.withColumns(C.signals(text, lex))
-        .withColumn("criteria", C.criteria(text, F.col("ext"), p, similarity, lex))
-        .withColumn("reasons", C.reasons(text, F.col("ext"), p, similarity, F.col("criteria"), lex))
+        signalled.withColumns(found)
+        .withColumn("criteria", F.struct(*[points[key].alias(key) for key in CRITERION_KEYS]))
+        .withColumn("reasons", C.reasons(text, F.col("ext"), p, similarity, points, lex))
         .withColumn("weights", C.role_weights(F.col("title"), lex))
         .withColumn("score", C.weighted_score(F.col("criteria"), F.col("weights")))
+        .drop(*found)
     )
 
 

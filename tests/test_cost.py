@@ -34,6 +34,12 @@ def test_an_array_is_computed_once(spark, tables, name):
     assert "Filter ((size(" not in optimized(queries()[name](spark, tables))
 
 
+@pytest.mark.parametrize("name", ["crit_summary", "crit_experience"])
+def test_one_criterion_computes_no_other(spark, tables, name):
+    df = queries()[name](spark, tables)
+    assert df.count() == 4 and "plain_similarity" not in optimized(df)
+
+
 def test_a_day_of_reports_is_few_files(spark, tmp_path):
     start = datetime(2025, 1, 1)
     data = [(n, 1, f"f{n}.txt", start + timedelta(days=n % 3), 5, None, None, None, None) for n in range(60)]
