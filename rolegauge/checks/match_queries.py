@@ -16,6 +16,7 @@ from rolegauge.plans import documents as D
 from rolegauge.plans.matching import match_documents
 from rolegauge.plans.scan import scan
 from rolegauge.sources import reports as R
+from rolegauge.storage import materialize
 
 
 def bar(array):
@@ -27,6 +28,12 @@ def vectors(spark, folder):
     return D.termed(X.corpus(spark, folder))
 
 
+@planned
+def written_vectors(spark, folder):
+    """What the catalog side needs, tokenized once: it reads the documents twice."""
+    return materialize(vectors(spark, folder).select("doc_id", "text", "vector", "doc_squared"), "vectors")
+
+
 @planned
 def compared(spark, folder):
     return D.with_similarity(vectors(spark, folder)).filter(F.col("target") != "")
@@ -84,7 +91,7 @@ def target_match(spark, folder):
 
 
 def catalog_match(spark, folder):
-    pairs = catalog_scores(vectors(spark, folder), prepare(X.catalog(spark, folder)))
+    pairs = catalog_scores(written_vectors(spark, folder), prepare(X.catalog(spark, folder)))
     return pairs.select(
         "doc_id", "job_id", "match_score", F.col("n_matched").cast("int").alias("n_matched"),
         F.round("similarity", 6).alias("similarity"),
@@ -93,7 +100,7 @@ def catalog_match(spark, folder):
 
 def catalog_keywords_split(spark, folder):
     ready = prepare(X.catalog(spark, folder))
-    named = with_role_details(catalog_scores(vectors(spark, folder), ready), ready)
+    named = with_role_details(catalog_scores(written_vectors(spark, folder), ready), ready)
     return named.select("doc_id", "job_id", bar(F.col("matched")).alias("matched"), bar(F.col("missing")).alias("missing"))
 
 

@@ -184,7 +184,8 @@ def common_weights(docs: DataFrame, ready: Prepared) -> DataFrame:
 
 
 def catalog_scores(docs: DataFrame, ready: Prepared) -> DataFrame:
-    """Scores of all kept (document, role) pairs; ``docs`` needs ``doc_id, text, vector, doc_squared``."""
+    """Scores of all kept (document, role) pairs; ``docs`` needs ``doc_id, text, vector, doc_squared``. It is read twice, so it should be a
+    written table."""
     masks = [f"mask{m}" for m in range(ready.n_masks)]
     place = lambda t: (F.array_position(words(ready.common), t["term"]) - 1).cast("int").alias("place")
     behind = F.transform("rest", lambda t: F.struct(place(t), t["weight"].alias("weight")))

@@ -34,6 +34,12 @@ def test_an_array_is_computed_once(spark, tables, name):
     assert "Filter ((size(" not in optimized(queries()[name](spark, tables))
 
 
+@pytest.mark.parametrize("name", ["catalog_match", "catalog_keywords_split"])
+def test_the_catalog_side_reads_written_documents(spark, tables, name):
+    df = queries()[name](spark, tables)
+    assert df.count() and not any("documents.parquet" in f for f in df.inputFiles())
+
+
 @pytest.mark.parametrize("name", ["crit_summary", "crit_experience"])
 def test_one_criterion_computes_no_other(spark, tables, name):
     df = queries()[name](spark, tables)
