@@ -3,8 +3,11 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
+
 from rolegauge.checks.registry import queries
 from rolegauge.functions.columns import elements
+from rolegauge.functions.text import MOST_BRANCHES, prefix_tree
 from rolegauge.schemas import STORED_REPORTS_DDL
 from rolegauge.sources import reports as R
 
@@ -53,3 +56,17 @@ def test_a_day_of_reports_is_few_files(spark, tmp_path):
     R.append_reports(spark.createDataFrame(data, STORED_REPORTS_DDL).repartition(20), path)
     stored = spark.read.parquet(path)
     assert stored.count() == 60 and len(stored.inputFiles()) <= 8
+
+
+def test_many_branches_are_divided():
+    values = [a + b for a in "abcdefghij-^" for b in ("x", "yy", " z")]
+    pattern = prefix_tree(values)
+    assert pattern.count("(?=[") >= 12 // MOST_BRANCHES
+
+
+def test_divided_branches_find_the_same(spark):
+    values = [a + b for a in "abcdefghij-^]" for b in ("x", "yy", " z", "")]
+    text = "ax byy ^ z ]] --x ee zz"
+    hits = spark.range(1).select(F.regexp_extract_all(F.lit(text), F.lit(f"(?=({prefix_tree(values)}))"), F.lit(1))).first()[0]
+    longest = [max((v for v in values if text.startswith(v, at)), key=len, default=None) for at in range(len(text))]
+    assert hits == [v for v in longest if v]
