@@ -6,7 +6,6 @@ import io
 import zipfile
 from xml.sax.saxutils import escape
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,21 +37,17 @@ def split_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select("doc_id", F.concat(text, F.unhex(F.lit("FFC0FE")), text).alias("content"))
 
 
-@F.pandas_udf(T.BinaryType())
-def docx_bytes(texts: pd.Series) -> pd.Series:
-    """Minimal DOCX files, one paragraph per line and a table with the line count."""
+@F.udf(T.BinaryType(), useArrow=False)
+def docx_bytes(text: str) -> bytes:
+    """A minimal DOCX file, one paragraph per line and a table with the line count."""
     space = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
-
-    def build(text: str) -> bytes:
-        lines = text.split("\n")
-        body = "".join(f"<w:p><w:r><w:t>{escape(line)}</w:t></w:r></w:p>" for line in lines)
-        cells = "".join(f"<w:tc><w:p><w:r><w:t>{value}</w:t></w:r></w:p></w:tc>" for value in ("lines", len(lines)))
-        out = io.BytesIO()
-        with zipfile.ZipFile(out, "w") as archive:
-            archive.writestr(
-                "word/document.xml",
-                f'<w:document xmlns:w="{space}"><w:body>{body}<w:tbl><w:tr>{cells}</w:tr></w:tbl></w:body></w:document>',
-            )
-        return out.getvalue()
-
-    return texts.map(build)
+    lines = text.split("\n")
+    body = "".join(f"<w:p><w:r><w:t>{escape(line)}</w:t></w:r></w:p>" for line in lines)
+    cells = "".join(f"<w:tc><w:p><w:r><w:t>{value}</w:t></w:r></w:p></w:tc>" for value in ("lines", len(lines)))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        archive.writestr(
+            "word/document.xml",
+            f'<w:document xmlns:w="{space}"><w:body>{body}<w:tbl><w:tr>{cells}</w:tr></w:tbl></w:body></w:document>',
+        )
+    return out.getvalue()

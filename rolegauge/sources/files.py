@@ -8,7 +8,6 @@ import zipfile
 import zlib
 from xml.etree import ElementTree
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -78,10 +77,10 @@ def docx_text(content: bytes) -> str:
     return "\n".join(lines)
 
 
-@F.pandas_udf(T.StringType())
-def docx_texts(contents: pd.Series) -> pd.Series:
-    """DOCX bytes as text, a whole Arrow batch per call; NULL stays NULL."""
-    return contents.map(lambda content: None if content is None else docx_text(bytes(content)))
+@F.udf(T.StringType(), useArrow=False)
+def docx_texts(content: bytes | None) -> str | None:
+    """DOCX bytes as text; NULL stays NULL. Files are handed over a hundred at a time, where an Arrow batch holds ten thousand of them."""
+    return None if content is None else docx_text(bytes(content))
 
 
 def extracted(files: DataFrame) -> DataFrame:

@@ -104,3 +104,12 @@ def test_cell_widths_that_are_no_numbers_or_too_large(spark):
     assert S.docx_text(packed(4, ["x", "2", "", "-1"])).split("\n") == ["c0", "c1", "c1", "c2", "c3"]
     assert S.docx_text(packed(3, ["3000000", "9"])).split("\n") == ["c0", "c0", "c0", "c1"]
     assert len(S.docx_text(packed(0, ["3000000"])).split("\n")) == 63
+
+
+def test_docx_files_reach_python_a_few_at_a_time(spark):
+    df = spark.createDataFrame([(n, docx() if n % 2 else None) for n in range(300)], "n int, content binary").coalesce(1)
+    read = df.select("n", S.docx_texts("content").alias("text"))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
+    assert {r["text"] for r in read.collect() if r["n"] % 2 == 0} == {None}
+    assert read.filter("text LIKE 'Alex%'").count() == 150
