@@ -49,6 +49,11 @@ def test_one_criterion_computes_no_other(spark, tables, name):
     assert df.count() == 4 and "plain_similarity" not in optimized(df)
 
 
+@pytest.mark.parametrize("name", ["criteria", "score_default", "scan_scores", "score_role", "criteria_reasons", "crit_extremes"])
+def test_scores_build_no_plain_vector(spark, tables, name):
+    assert "plain_vector" not in optimized(queries()[name](spark, tables))
+
+
 def test_a_day_of_reports_is_few_files(spark, tmp_path):
     start = datetime(2025, 1, 1)
     data = [(n, 1, f"f{n}.txt", start + timedelta(days=n % 3), 5, None, None, None, None) for n in range(60)]

@@ -130,5 +130,35 @@ def test_dot_product(spark):
     assert got == [sum(left.count(t) * right.count(t) for t in set(left)) for left, right in bags]
 
 
+def test_bag_cosine_is_the_cosine_of_the_vectors(spark):
+    rng = random.Random(7)
+    many = [f"t{n}" for n in range(3 * terms.MOST_LOOKUPS)]
+    pools = [("abcdefgh", "efghijkl", 12)] * 60 + [(many, many, 600)] * 4
+    bags = [([rng.choice(a) for _ in range(rng.randrange(n))], [rng.choice(b) for _ in range(rng.randrange(n))]) for a, b, n in pools]
+    bags += [([], []), (["a"], []), (None, ["a"]), (["a", "a"], ["a"])]
+    df = spark.createDataFrame(bags, "l array<string>, r array<string>")
+    plain = terms.cosine(terms.term_vector(F.col("l")), terms.term_vector(F.col("r")))
+    rows = df.select(terms.bag_cosine(F.col("l"), F.col("r")), plain).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows] and rows[-1][0] == 1.0
+    assert max(len(set(a or []) & set(b or [])) for a, b in bags) > terms.MOST_LOOKUPS
+
+
+def test_occurrences_of_nothing_and_of_null(spark):
+    assert column_of(spark, ["teh teh", "the", "", None], T.typo_count) == [2, 0, 0, None]
+
+
+def test_few_terms_that_start_longer_ones(spark):
+    wanted = ["responsive", "responsive design", "css", "html", "sql", "git"]
+    values = ["responsive design", "a responsive site", "unresponsive", "css", None]
+    found = column_of(spark, values, lambda t: F.sort_array(T.term_hits(t, wanted)))
+    assert found == [["responsive", "responsive design"], ["responsive"], [], ["css"], None]
+
+
+def test_ranges_beside_marks_and_words(spark):
+    values = ["2018 \x01 2019", "\x012011 - 2014\x02", "sept 2011 until now", "2011 to", "12 2011 - march 2014", "x2011–2012"]
+    got = column_of(spark, values, lambda t: experience.dated_ranges(t, 2026))
+    assert [[tuple(r)[:2] for r in rows] for rows in got] == [[], [(2011, 2014)], [(2011, 2026)], [], [(2011, 2014)], [(2011, 2012)]]
+
+
 def test_keyword_list(spark):
     assert column_of(spark, ["q, r s,, T ,"], T.keyword_list) == [["q", "r s", "T"]]
