@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rolegauge.llm.batches import map_texts
+from rolegauge.llm.batches import forget_pieces, map_texts
 from rolegauge.llm.buckets import Forest, dealt, different_buckets, in_units, units
 from rolegauge.llm.components import components
 from rolegauge.llm.shingles import MinHasher, band_keys, shingles
@@ -209,6 +209,7 @@ def with_digests(documents: DataFrame) -> DataFrame:
     place, types = documents.columns.index("text"), T.StructType([*documents.schema.fields, T.StructField("__digest", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_pieces()
         for batch in batches:
             sets = [shingles(text or "") for text in batch.column(place).to_pylist()]
             digests = pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary())

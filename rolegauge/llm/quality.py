@@ -73,12 +73,13 @@ def keep_good(documents: DataFrame, labels: DataFrame, keep_from: float = KEEP_F
 
     import pyarrow as pa
 
-    from rolegauge.llm.batches import pieces
+    from rolegauge.llm.batches import forget_pieces, pieces
 
     model = train(documents, labels)
     place = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_pieces()
         for batch in batches:
             texts = [t or "" for t in batch.column(place).to_pylist()]
             for begin, end in pieces(texts):

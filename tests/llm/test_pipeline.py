@@ -1,15 +1,20 @@
 """The pipeline against plain versions of its stages on the smallest tables."""
 
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from rolegauge.llm import tokenizing
+from rolegauge.llm.batches import map_texts
 from rolegauge.llm.mixing import mixed
 from rolegauge.llm.quality import quality_rules
 from rolegauge.llm.shingles import words_of
+from rolegauge.llm.token_files import write_token_files
 
 
 def grams(text, least=1):
@@ -57,3 +62,18 @@ def test_entry_registers_everything():
     names = set(entry.queries())
     assert "pipeline" in names and all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11))
     assert set(entry.oracle_sql()) <= names
+
+
+def test_known_pieces_do_not_stay_beside_other_steps(spark, folder):
+    """Workers serve all stages: what encoding tokens left in a worker is gone when a task of another step works there."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").repartition(8)
+
+    def encoders(batches):
+        for batch in batches:
+            known = sys.modules.get("rolegauge.llm.tokenizing")
+            yield pa.RecordBatch.from_pydict({"n": pa.array([known.piece_encoder.cache_info().currsize if known else 0] * batch.num_rows, pa.int32())})
+
+    write_token_files(docs).count()
+    assert 1 in {r.n for r in docs.select("doc_id").mapInArrow(encoders, "n int").collect()}
+    held = map_texts(docs, "n int", lambda carried, texts: [[tokenizing.piece_encoder.cache_info().currsize] * len(texts)], [])
+    assert {r.n for r in held.collect()} == {0}
