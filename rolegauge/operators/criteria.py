@@ -6,6 +6,8 @@ text (NULL without a target).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,7 +30,10 @@ def _any(text: Column, values: list[str]) -> Column:
 
 
 def impact_verbs(text: Column, lex: Lexicon = DEFAULT) -> Column:
-    return F.regexp_count(text, F.lit(rf"(?<!{WORD_CHAR})(?:{alternatives(lex.impact_verbs)})(?!{WORD_CHAR})"))
+    # Only places where a verb may begin are looked at further.
+    letters = {verb[:1] for verb in lex.impact_verbs}
+    ahead = f"(?=[{''.join(map(re.escape, sorted(letters)))}])" if all(letters) and letters else ""
+    return F.regexp_count(text, F.lit(rf"{ahead}(?<!{WORD_CHAR})(?:{alternatives(lex.impact_verbs)})(?!{WORD_CHAR})"))
 
 
 def spacing_issues(text: Column) -> Column:
@@ -80,8 +85,9 @@ def education_score(text: Column) -> Column:
 
 
 def skills_score(text: Column, p: Column, lex: Lexicon = DEFAULT) -> Column:
+    """Texts with five skills have the full score; the listed ones are looked for in others only."""
     further = F.array_except(contained(text, lex.listed_skills), p["skills"])
-    return F.least((F.size(p["skills"]) + F.size(further)) * 2, F.lit(10))
+    return F.when(F.size(p["skills"]) >= 5, 10).otherwise(F.least((F.size(p["skills"]) + F.size(further)) * 2, F.lit(10)))
 
 
 def keywords_score(text: Column, lex: Lexicon = DEFAULT) -> Column:

@@ -76,12 +76,13 @@ def with_target_match(docs: DataFrame) -> DataFrame:
 
 
 def with_profile(docs: DataFrame, as_of_year: int, lex: Lexicon = DEFAULT) -> DataFrame:
+    """Adds the profile, and its years as `profile_years`: criteria read those, so that a query without profiles does not compute the rest."""
     text = F.col("text")
-    return docs.withColumn(
+    return docs.withColumn("profile_years", experience_years(text, as_of_year)).withColumn(
         "profile",
         F.struct(
             F.col("text_skills").alias("skills"),
-            experience_years(text, as_of_year).alias("experience_years"),
+            F.col("profile_years").alias("experience_years"),
             word_hits(text, lex.action_verbs).alias("action_verbs"),
             contained(text, sorted(lex.weak_verbs)).alias("weak_verbs"),
             contained(text, sorted(EDUCATION_WORDS)).alias("education"),
@@ -91,7 +92,8 @@ def with_profile(docs: DataFrame, as_of_year: int, lex: Lexicon = DEFAULT) -> Da
 
 
 def with_criteria(docs: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
-    text, p, similarity = F.col("text"), F.col("profile"), F.col("plain_similarity")
+    text, similarity = F.col("text"), F.col("plain_similarity")
+    p = F.struct(F.col("text_skills").alias("skills"), F.col("profile_years").alias("experience_years"))
     signalled = docs.withColumns(C.signals(text, lex))
     found = {f"{key}_points": score for key, score in C.criterion_scores(text, F.col("ext"), p, similarity, lex).items()}
     points = {key: F.col(f"{key}_points") for key in CRITERION_KEYS}
@@ -101,7 +103,7 @@ def with_criteria(docs: DataFrame, lex: Lexicon = DEFAULT) -> DataFrame:
         .withColumn("reasons", C.reasons(text, F.col("ext"), p, similarity, points, lex))
         .withColumn("weights", C.role_weights(F.col("title"), lex))
         .withColumn("score", C.weighted_score(F.col("criteria"), F.col("weights")))
-        .drop(*found)
+        .drop(*found, "profile_years")
     )
 
 

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from rolegauge.checks.registry import queries
-from rolegauge.functions.columns import elements
+from rolegauge.functions.columns import contained, elements
 from rolegauge.functions.text import MOST_BRANCHES, prefix_tree
+from rolegauge.lexicon import DEFAULT
+from rolegauge.operators import criteria as C
 from rolegauge.schemas import STORED_REPORTS_DDL
 from rolegauge.sources import reports as R
 
@@ -75,3 +77,21 @@ def test_divided_branches_find_the_same(spark):
     hits = spark.range(1).select(F.regexp_extract_all(F.lit(text), F.lit(f"(?=({prefix_tree(values)}))"), F.lit(1))).first()[0]
     longest = [max((v for v in values if text.startswith(v, at)), key=len, default=None) for at in range(len(text))]
     assert hits == [v for v in longest if v]
+
+
+@pytest.mark.parametrize("name", ["score_role", "score_default", "criteria", "crit_experience"])
+def test_scores_do_not_compute_the_lists_of_the_profile(spark, tables, name):
+    """Only skills and years of the profile are read; its struct used to bring verbs, education and words along."""
+    plan = optimized(queries()[name](spark, tables))
+    assert "shipped" not in plan and "participated" not in plan and "word_count" not in plan
+
+
+def test_skills_score_at_five(spark):
+    """Five skills are the full score, and listed ones count on top of fewer."""
+    rows = [("python sql excel tableau git", 10), ("python", None), (None, None)]
+    df = spark.createDataFrame([(text,) for text, _ in rows], "t string")
+    p = F.struct(F.split("t", " ").alias("skills"))
+    score = C.skills_score(F.col("t"), p)
+    plain = F.least((F.size(p["skills"]) + F.size(F.array_except(contained(F.col("t"), DEFAULT.listed_skills), p["skills"]))) * 2, F.lit(10))
+    found = [tuple(r) for r in df.select(score, plain).collect()]
+    assert found[0][0] == 10 and all(one == two for one, two in found)
