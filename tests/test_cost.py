@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rolegauge.checks.registry import queries
 from rolegauge.functions.columns import contained, elements
+from rolegauge.functions.terms import MOST_LOOKUPS, bag_squared_norm, begun_squared_norm
 from rolegauge.functions.text import MOST_BRANCHES, prefix_tree
 from rolegauge.lexicon import DEFAULT
 from rolegauge.operators import criteria as C
@@ -95,3 +96,16 @@ def test_skills_score_at_five(spark):
     plain = F.least((F.size(p["skills"]) + F.size(F.array_except(contained(F.col("t"), DEFAULT.listed_skills), p["skills"]))) * 2, F.lit(10))
     found = [tuple(r) for r in df.select(score, plain).collect()]
     assert found[0][0] == 10 and all(one == two for one, two in found)
+
+
+def test_words_of_score_and_reason_are_looked_for_once(spark, tables):
+    """`roadmap` is one of the general keywords and no skill; the score and its reason used to look for it each."""
+    assert optimized(queries()["criteria_reasons"](spark, tables)).count("stakeholders,roadmap,testing") == 1
+
+
+def test_plain_norm_from_the_weighted_one(spark):
+    many = [f"t{n}" for n in range(MOST_LOOKUPS + 5)]
+    rows = [(["a", "b", "a"], ["a", "c", "a", "b"]), (["a", "a"], []), ([], ["b", "b"]), ([], []), (["t1", "t1", "x"], many), (None, None)]
+    df = spark.createDataFrame([(bag, None if bag is None else bag + more) for bag, more in rows], "bag array<string>, longer array<string>")
+    found = df.select(begun_squared_norm(F.col("bag"), F.col("longer"), bag_squared_norm(F.col("longer"))), bag_squared_norm(F.col("bag"))).collect()
+    assert [tuple(r) for r in found] == [(n, n) for n in (5, 4, 0, 0, 5, None)]

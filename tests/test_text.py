@@ -162,3 +162,36 @@ def test_ranges_beside_marks_and_words(spark):
 
 def test_keyword_list(spark):
     assert column_of(spark, ["q, r s,, T ,"], T.keyword_list) == [["q", "r s", "T"]]
+
+
+def test_classes_hold_the_characters_of_their_properties(spark):
+    """Classes name their ASCII characters one by one and mean the same as the properties, for every code point."""
+    signs = spark.createDataFrame([(chr(n),) for n in range(0x110000) if not 0xD800 <= n < 0xE000], "c string").repartition(4)
+    classes = {
+        T.SPACE: r"[\s\x1c-\x1f\x85\p{Z}]", T.WORD_CHAR: r"[\p{L}\p{N}_]", T.DIGIT: r"\p{Nd}", T.FIGURE: r"[\p{Nd}%$]", T.TERM_CHAR: "[a-z0-9+#.-]",
+        T.LINE_BREAK: r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]",
+    }
+    for named, plain in classes.items():
+        assert signs.filter(F.rlike("c", F.lit(named)) != F.rlike("c", F.lit(plain))).count() == 0, named
+
+
+def test_only_uneven_space_is_replaced(spark):
+    values = ["a b", " a  b ", "a\tb", "a \u00a0b", "\u2003a\r\n b", "a\n", "", None]
+    plain = column_of(spark, values, lambda t: F.regexp_replace(t, r"[\s\x1c-\x1f\x85\p{Z}]+", " "))
+    assert column_of(spark, values, lambda t: F.regexp_replace(t, T.UNEVEN_SPACE, " ")) == plain
+    assert column_of(spark, ["a\r\nb\rc\n\rd"], lambda t: F.split(t, T.LINE_BREAK)) == [["a", "b", "c", "", "d"]]
+
+
+def test_weak_lines_are_the_first_of_the_bullet_lines(spark):
+    lines = ["- short", "\u2022 - helped with the whole project", "* Increased the sales by 20 %", "  responsible for many things here", "nothing is named in this line", "one more line without results"]
+    values = ["\n".join(lines), "\r\n".join(lines[:3]), "", None]
+    expected = ["helped with the whole project", "responsible for many things here", "nothing is named in this line"]
+    assert column_of(spark, values, T.weak_bullets) == [expected, expected[:1], [], None]
+
+
+def test_stated_years_are_looked_for_once(spark):
+    """Each of the two patterns stood twice in the plan, for the comparison and for the value."""
+    df = spark.createDataFrame([("9 years of experience",), ("experience: 40 yrs",), ("years",), (None,)], "t string")
+    years = df.select(experience.explicit_years(F.col("t")).alias("n"))
+    assert [r[0] for r in years.collect()] == [9, 25, None, None]
+    assert years._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == len(experience.EXPLICIT)
